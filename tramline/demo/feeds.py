@@ -24,15 +24,18 @@ def _pack(rows: DataFrame, fill: Callable) -> DataFrame:
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         message = feed_spec.message_class()
         for batch in batches:
-            files = []
-            for (day, hour, stamp), group in batch.groupby(["service_date", "hour", "snapshot"], sort=False):
-                feed = message()
-                feed.header.gtfs_realtime_version = "2.0"
-                feed.header.timestamp = int(stamp)
-                for row in group.itertuples(index=False):
-                    fill(feed.entity.add(), row)
-                files.append((day, int(hour), f"snapshot_{int(stamp)}.pb", feed.SerializeToString()))
-            yield pd.DataFrame(files, columns=["service_date", "hour", "path", "content"])
+            feeds = {}
+            for row in batch.itertuples(index=False):
+                key = (row.service_date, int(row.hour), int(row.snapshot))
+                if key not in feeds:
+                    feeds[key] = message()
+                    feeds[key].header.gtfs_realtime_version = "2.0"
+                    feeds[key].header.timestamp = key[2]
+                fill(feeds[key].entity.add(), row)
+            yield pd.DataFrame(
+                [(day, hour, f"snapshot_{stamp}.pb", feed.SerializeToString())
+                 for (day, hour, stamp), feed in feeds.items()],
+                columns=["service_date", "hour", "path", "content"])
 
     return rows.mapInPandas(encode, _FILES)
 

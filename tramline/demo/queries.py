@@ -568,14 +568,12 @@ def csv_dims_roundtrip(spark, sf):
 def static_version_discovery(spark, sf):
     """Schedule folders named after the quarters of the orders, listed back with their parsed stamps."""
     base = scratch_dir(spark, "versions")
-    names = roles.order_versions(spark, sf).select(
-        F.concat(F.lit("v_"), F.date_format("feed_start_date", "yyyyMMdd"), F.lit("_020012")).alias("name"),
-        c("feed_start_date").cast("string").alias("feed_start_date"))
-    names.withColumn("file", F.lit("feed_info.txt")).write.option("header", True).partitionBy("name", "file").csv(base)
-    files = spark.read.option("header", True).csv(base)
-    found = files.select(F.col("name"), F.try_to_date(F.substring("name", 3, 8), "yyyyMMdd").alias("collection_date"),
-                         F.to_timestamp_ntz(F.substring("name", 3, 15), F.lit("yyyyMMdd_HHmmss")).alias("collected_at"))
-    return found.where(c("name").rlike(r"^v_\d{8}_\d{6}$"))
+    info = roles.order_versions(spark, sf).withColumn("feed_version", F.lit("quarter"))
+    # One folder per version: their number is bounded by the quarters of the calendar.
+    for (start,) in info.select("feed_start_date").collect():
+        folder = f"{base}/v_{start:%Y%m%d}_020012/feed_info.txt"
+        info.where(c("feed_start_date") == F.lit(start)).write.option("header", True).csv(folder)
+    return schedule.list_versions(spark, base).drop("folder")
 
 
 # ---------------------------------------------------------------- sinks and checks

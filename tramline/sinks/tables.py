@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +16,13 @@ from tramline.schemas import RECENT_SNAPSHOT, conform
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Replace exactly the partitions that ``df`` has rows for; others stay.
 
-    A rerun writes the same partitions again. Spark moves the new files into
-    place when the job commits, so a lost executor costs only its tasks.
+    Rows are gathered by partition so that a partition gets few files; adaptive
+    execution splits the large ones over several tasks. A rerun writes the same
+    partitions again. Spark moves the new files into place when the job
+    commits, so a lost executor costs only its tasks.
     """
     (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by).parquet(path)
     )
 
@@ -78,14 +79,12 @@ class LatestState:
         return self.read()
 
     def _newest(self) -> str | None:
-        try:
-            done = self.spark.read.format("binaryFile").load(f"{self.path}/state=*/_SUCCESS")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        row = done.agg(F.max("path")).first()
-        return row[0].rsplit("/", 1)[0] if row and row[0] else None
+        """The newest folder with the marker Spark writes when a job has committed."""
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        markers = hadoop.Path(f"{self.path}/state=*/_SUCCESS")
+        files = markers.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        done = [m.getPath().getParent().toString() for m in files.globStatus(markers) or []]
+        return max(done, default=None)
 
 
 def write_recent(rows: DataFrame, path: str) -> None:
@@ -96,6 +95,6 @@ def write_recent(rows: DataFrame, path: str) -> None:
         "dt": F.to_date(at), "hour": F.lpad(F.hour(at).cast("string"), 2, "0"),
     })
     (
-        stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        stamped.hint("rebalance", F.col("dt"), F.col("hour")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt", "hour").option("compression", "gzip").option("ignoreNullFields", False).json(path)
     )
