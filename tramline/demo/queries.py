@@ -51,42 +51,48 @@ def rounded(df: DataFrame, *columns: str, digits: int = DIGITS) -> DataFrame:
 # ---------------------------------------------------------------- shared inputs
 
 
-def _positions(spark: SparkSession, sf: str) -> DataFrame:
+def _new_positions(spark: SparkSession, sf: str) -> DataFrame:
     return facts.fact_vehicle_positions(
         roles.raw_vehicle_positions(spark, sf), roles.event_versions(spark, sf), *EVENT_DAYS)
 
 
-def _updates(spark: SparkSession, sf: str) -> DataFrame:
+def _new_updates(spark: SparkSession, sf: str) -> DataFrame:
     return facts.fact_trip_updates(
         roles.raw_trip_updates(spark, sf), roles.order_versions(spark, sf), *TRIP_DAYS)
 
 
-def _event_routes(spark: SparkSession, sf: str) -> DataFrame:
-    return roles.routes(spark, sf, roles.event_versions(spark, sf))
+def _positions(spark: SparkSession, sf: str) -> DataFrame:
+    return roles.stored(spark, sf, "fact_vehicle_positions", lambda: _new_positions(spark, sf))
+
+
+def _updates(spark: SparkSession, sf: str) -> DataFrame:
+    return roles.stored(spark, sf, "fact_trip_updates", lambda: _new_updates(spark, sf))
+
+
+def _alert_facts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    rows, versions = roles.raw_alerts(spark, sf), roles.order_versions(spark, sf)
+    return (
+        roles.stored(spark, sf, "fact_alerts_active_periods", lambda: facts.fact_alerts_active_periods(rows)),
+        roles.stored(spark, sf, "fact_alerts_routes", lambda: facts.fact_alerts_routes(rows)),
+        roles.stored(spark, sf, "fact_alerts", lambda: facts.fact_alerts(rows, versions)),
+    )
 
 
 def _on_time(spark: SparkSession, sf: str) -> DataFrame:
     return marts.mart_on_time(
-        _positions(spark, sf), roles.event_stop_times(spark, sf), _event_routes(spark, sf), *EVENT_DAYS)
+        _positions(spark, sf), roles.event_stop_times(spark, sf), roles.event_routes(spark, sf), *EVENT_DAYS)
 
 
 def _occupancy(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.mart_occupancy_route_hour(_positions(spark, sf), _event_routes(spark, sf), *EVENT_DAYS)
-
-
-def _alert_facts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    rows, versions = roles.raw_alerts(spark, sf), roles.order_versions(spark, sf)
-    return facts.fact_alerts_active_periods(rows), facts.fact_alerts_routes(rows), facts.fact_alerts(rows, versions)
+    return marts.mart_occupancy_route_hour(_positions(spark, sf), roles.event_routes(spark, sf), *EVENT_DAYS)
 
 
 def _alerts_by_day(spark: SparkSession, sf: str) -> DataFrame:
-    dims = roles.routes(spark, sf, roles.order_versions(spark, sf))
-    return marts.mart_alerts_by_day(*_alert_facts(spark, sf), dims, *ALERT_DAYS)
+    return marts.mart_alerts_by_day(*_alert_facts(spark, sf), roles.order_routes(spark, sf), *ALERT_DAYS)
 
 
 def _alerts_by_stop(spark: SparkSession, sf: str) -> DataFrame:
-    dims = roles.stops(spark, sf, roles.order_versions(spark, sf))
-    return marts.mart_alerts_by_day_stops(*_alert_facts(spark, sf), dims, *ALERT_DAYS)
+    return marts.mart_alerts_by_day_stops(*_alert_facts(spark, sf), roles.order_stops(spark, sf), *ALERT_DAYS)
 
 
 def _services(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,17 +101,16 @@ def _services(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scheduled(spark: SparkSession, sf: str) -> DataFrame:
-    dims = roles.routes(spark, sf, roles.order_versions(spark, sf))
     return marts.scheduled_trips(
-        roles.order_trips(spark, sf), dims, roles.order_stop_times(spark, sf), _services(spark, sf))
+        roles.order_trips(spark, sf), roles.order_routes(spark, sf), roles.order_stop_times(spark, sf),
+        _services(spark, sf))
 
 
 def _delivered(spark: SparkSession, sf: str) -> DataFrame:
-    versions = roles.order_versions(spark, sf)
     return marts.mart_service_delivered(
-        _updates(spark, sf), roles.order_trips(spark, sf), roles.routes(spark, sf, versions),
+        _updates(spark, sf), roles.order_trips(spark, sf), roles.order_routes(spark, sf),
         roles.order_stop_times(spark, sf), roles.calendar(spark, sf), roles.calendar_dates(spark, sf),
-        versions, *TRIP_DAYS)
+        roles.order_versions(spark, sf), *TRIP_DAYS)
 
 
 def _newest_stamp(entities: DataFrame) -> Column:
@@ -119,13 +124,6 @@ def _vehicles(spark: SparkSession, sf: str) -> DataFrame:
         _newest_stamp(entities))
 
 
-def _scratch_table(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared scratch folder and read back."""
-    path = scratch_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 # ---------------------------------------------------------------- latest rows
 
 
@@ -147,7 +145,7 @@ def hourly_trip_state(spark, sf):
 
 @query
 def final_trip_state(spark, sf):
-    return _updates(spark, sf).select(
+    return _new_updates(spark, sf).select(
         "trip_start_date", "trip_id", "snapshot_timestamp", "ingested_at", "entity_id", "trip_schedule_rel")
 
 
@@ -167,13 +165,13 @@ def first_scheduled_stop(spark, sf):
 
 @query
 def fact_vehicle_positions(spark, sf):
-    return _positions(spark, sf).drop(
+    return _new_positions(spark, sf).drop(
         "multi_carriage_details", "trip_start_time", "vehicle_label", "bearing", "odometer", "congestion_level")
 
 
 @query
 def fact_trip_updates(spark, sf):
-    return _updates(spark, sf).select(
+    return _new_updates(spark, sf).select(
         "service_date", "hour", "snapshot_timestamp", "ingested_at", "gtfs_realtime_version", "entity_id",
         "is_deleted", "trip_id", "route_id", "direction_id", "trip_start_date", "trip_schedule_rel",
         "trip_update_timestamp", "delay", "static_version_date")

@@ -7,20 +7,54 @@ columns of one table into a transit table: narrow projections, no sampling.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.functions.times import gtfs_clock, gtfs_seconds, seconds_since_midnight, wall_epoch
 from tramline.schemas import RAW_ALERTS, RAW_TRIP_UPDATES, RAW_VEHICLE_POSITIONS, conform
+from tramline.session import scratch_dir
 
 c = F.col
-NULL = F.lit(None)
+
+
+def null() -> Column:
+    return F.lit(None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table about to be turned into something costly per row.
+
+    A small test file is one row group and would keep one task busy; it is
+    spread over the cores. A table that already has a split per core is not moved.
+    """
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table of the warehouse layers, built from the test tables once per application and kept as Parquet.
+
+    Marts read dimensions and facts at rest, as in the nightly run, so that
+    sizes are known when joins are planned and no layer is computed twice.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = scratch_dir(spark, name)
+        build().write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
 def text(column: Column) -> Column:
     return column.cast("string")
 
@@ -33,7 +67,7 @@ def plus_seconds(ts: Column, seconds: Column) -> Column:
 def bus_id(n: Column) -> Column:
     """Route ids of every kind: rail, silver line, crosstown, commuter, boat, blank, missing, numbers."""
     odd = F.array(*[F.lit(x) for x in ("Red", "SL1", "CT2", "CR-3", "Boat-4", "")])
-    return F.when(n < 6, F.get(odd, n.cast("int"))).when(n == 6, NULL).otherwise(text(n))
+    return F.when(n < 6, F.get(odd, n.cast("int"))).when(n == 6, null()).otherwise(text(n))
 
 
 # ---------------------------------------------------------------- schedule versions and dimensions
@@ -41,13 +75,20 @@ def bus_id(n: Column) -> Column:
 
 def event_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly versions over the event days."""
-    return table(spark, sf_dir, "events").select(F.trunc(F.to_date("ts"), "week").alias("feed_start_date")).distinct()
+    def build():
+        days = table(spark, sf_dir, "events").select(F.trunc(F.to_date("ts"), "week").alias("feed_start_date"))
+        return days.distinct().coalesce(1)
+
+    return stored(spark, sf_dir, "event_versions", build)
 
 
 def order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarterly versions over the order days."""
-    return table(spark, sf_dir, "orders").select(
-        F.trunc(F.to_date("o_orderdate"), "quarter").alias("feed_start_date")).distinct()
+    def build():
+        days = table(spark, sf_dir, "orders").select(F.trunc(F.to_date("o_orderdate"), "quarter").alias("feed_start_date"))
+        return days.distinct().coalesce(1)
+
+    return stored(spark, sf_dir, "order_versions", build)
 
 
 def each_version(rows: DataFrame, versions: DataFrame) -> DataFrame:
@@ -56,6 +97,14 @@ def each_version(rows: DataFrame, versions: DataFrame) -> DataFrame:
     return rows.select(F.explode(starts).alias("feed_start_date"), "*")
 
 
+def event_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "event_routes", lambda: routes(spark, sf_dir, event_versions(spark, sf_dir)))
+
+
+def order_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "order_routes", lambda: routes(spark, sf_dir, order_versions(spark, sf_dir)))
+
+
 def routes(spark: SparkSession, sf_dir: str, versions: DataFrame) -> DataFrame:
     key = c("n_nationkey")
     rows = table(spark, sf_dir, "nation").select(
@@ -68,6 +117,10 @@ def routes(spark: SparkSession, sf_dir: str, versions: DataFrame) -> DataFrame:
 
 def stops_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """400 stops; several of them share a name."""
+    return stored(spark, sf_dir, "stops_once", lambda: _stops(spark, sf_dir))
+
+
+def _stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = c("p_partkey") % 400
     return (
         table(spark, sf_dir, "part").groupBy(number.alias("n"))
@@ -80,8 +133,9 @@ def stops_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stops(spark: SparkSession, sf_dir: str, versions: DataFrame) -> DataFrame:
-    return each_version(stops_once(spark, sf_dir), versions)
+def order_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "order_stops",
+                  lambda: each_version(stops_once(spark, sf_dir), order_versions(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- vehicle positions (events)
@@ -96,14 +150,14 @@ def raw_vehicle_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((hour <= 5) & (event % 4 < 2), F.date_sub(day, 1)).otherwise(day)
     )
     status = (
-        F.when(failed, NULL)
+        F.when(failed, null())
         .when(c("value") > 200, "FULL")
         .when(c("event_type") == "view", "EMPTY").when(c("event_type") == "click", "MANY_SEATS_AVAILABLE")
         .when(c("event_type") == "purchase", "FEW_SEATS_AVAILABLE")
         .when(c("value") > 100, "CRUSHED_STANDING_ROOM_ONLY").otherwise("STANDING_ROOM_ONLY")
     )
     stop = k % 10
-    rows = table(spark, sf_dir, "events").select(
+    rows = wide_table(spark, sf_dir, "events").select(
         day.alias("service_date"), hour.alias("hour"),
         F.date_trunc("minute", "ts").alias("snapshot_timestamp"), c("ts").alias("ingested_at"),
         F.lit("2.0").alias("gtfs_realtime_version"), text(event).alias("entity_id"),
@@ -127,6 +181,10 @@ def raw_vehicle_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A schedule near what happened: per version week, trip and stop the earliest time seen, shifted."""
+    return stored(spark, sf_dir, "event_stop_times", lambda: _event_stop_times(spark, sf_dir))
+
+
+def _event_stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     shift = (c("trip_id").cast("bigint") % 7) * 100 - 300
     planned = (
         raw_vehicle_positions(spark, sf_dir).where(c("current_stop_sequence").isNotNull())
@@ -160,7 +218,7 @@ def raw_trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(c("l_returnflag") == "R", "CANCELED").when(c("l_returnflag") == "A", "ADDED")
         .when(line % 2 == 0, " ")
     )
-    rows = table(spark, sf_dir, "lineitem").select(
+    rows = wide_table(spark, sf_dir, "lineitem").select(
         service.alias("service_date"), F.floor(second / 3600).alias("hour"), snapshot.alias("snapshot_timestamp"),
         plus_seconds(snapshot, c("l_suppkey") % 1000).alias("ingested_at"),
         F.lit("2.0").alias("gtfs_realtime_version"),
@@ -213,7 +271,7 @@ def calendar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     clock = gtfs_clock((c("l_suppkey") % 27) * 3600 + (c("l_partkey") % 60) * 60)
-    return table(spark, sf_dir, "lineitem").select(
+    return wide_table(spark, sf_dir, "lineitem").select(
         version_of(start_day(c("l_orderkey"))).alias("feed_start_date"), text(c("l_orderkey")).alias("trip_id"),
         c("l_linenumber").alias("stop_sequence"), F.when(c("l_discount") != 0, clock).alias("departure_time"),
     )
@@ -249,9 +307,9 @@ def alert_entities(route: "callable") -> Column:
     def entity(agency, key, stop, direction):
         return F.struct(
             agency.cast("string").alias("agency_id"),
-            (route(key) if key is not None else NULL).cast("string").alias("route_id"),
-            (key % 5 if key is not None else NULL).cast("int").alias("route_type"),
-            NULL.cast("STRUCT<trip_id: STRING, start_time: STRING, start_date: STRING, "
+            (route(key) if key is not None else null()).cast("string").alias("route_id"),
+            (key % 5 if key is not None else null()).cast("int").alias("route_type"),
+            null().cast("STRUCT<trip_id: STRING, start_time: STRING, start_date: STRING, "
                       "schedule_relationship: STRING, route_id: STRING, direction_id: INT, "
                       "modified_trip: STRUCT<modifications_id: STRING, affected_trip_id: STRING, "
                       "start_time: STRING, start_date: STRING>>").alias("trip"),
@@ -262,8 +320,8 @@ def alert_entities(route: "callable") -> Column:
     stop_2 = F.concat(F.lit("S"), text(c("l_suppkey") % 400))
     return F.array(
         entity(F.lit("1"), c("l_suppkey") % 25, stop_1, c("l_linenumber") % 2),
-        entity(F.lit("1"), c("l_partkey") % 25, stop_2, NULL),
-        entity(F.lit("1"), None, NULL, NULL),
+        entity(F.lit("1"), c("l_partkey") % 25, stop_2, null()),
+        entity(F.lit("1"), None, null(), null()),
     )
 
 
@@ -274,7 +332,7 @@ def alert_payload(route: "callable") -> dict[str, Column]:
                                             (F.concat(F.lit("Alert "), part), F.lit("en"))))
         .when(line % 4 == 1, _translations((F.concat(F.lit("Aviso "), part), F.lit("es"))))
         .when(line % 4 == 2, _translations())
-        .otherwise(_translations((F.concat(F.lit("Plain "), part), NULL.cast("string"))))
+        .otherwise(_translations((F.concat(F.lit("Plain "), part), null().cast("string"))))
     )
     description = F.when(line % 3 != 0, _translations((F.concat(F.lit("Text "), part), F.lit("EN-us"))))
     return {
@@ -292,7 +350,7 @@ def alert_payload(route: "callable") -> dict[str, Column]:
 
 def raw_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each line is one snapshot of the alert named by its order."""
-    return raw_alerts_of(table(spark, sf_dir, "lineitem"))
+    return raw_alerts_of(wide_table(spark, sf_dir, "lineitem"))
 
 
 def raw_alerts_of(lines: DataFrame) -> DataFrame:
@@ -333,7 +391,7 @@ def vehicle_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(event % 41 != 0, descriptor).alias("vehicle"),
     )
     entity = F.struct(F.concat(F.lit("e"), text(user)).alias("id"), vehicle.alias("vehicle"))
-    return table(spark, sf_dir, "events").select(
+    return wide_table(spark, sf_dir, "events").select(
         event, (wall_epoch("ts") + 5).alias("feed_timestamp"), entity.alias("entity"))
 
 
@@ -363,10 +421,11 @@ def order_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trip_update_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trip-update entities, one per line, each with 3 stops per line number; feed order by the line's keys."""
+    """Trip-update entities, one per line, each with 3 to 9 stops; feed order by the line's keys."""
     base = wall_epoch("l_shipdate")
 
-    def stop(i: Column) -> Column:
+    def stop(number: int) -> Column:
+        i = F.lit(number)
         return F.struct(
             F.when((i + c("l_partkey")) % 11 != 0, i).cast("int").alias("stop_sequence"),
             F.struct(F.when(i % 4 != 0, base + i * 60).otherwise(F.lit(0)).alias("time")).alias("arrival"),
@@ -376,12 +435,12 @@ def trip_update_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     update = F.struct(
         F.struct(text(c("l_orderkey")).alias("trip_id")).alias("trip"),
-        F.transform(F.sequence(F.lit(1), c("l_linenumber") * 3), stop).alias("stop_time_update"),
+        F.slice(F.array(*[stop(i) for i in range(1, 10)]), F.lit(1), c("l_linenumber") + 2).alias("stop_time_update"),
         F.when(c("l_partkey") % 3 == 0, F.struct(F.concat(F.lit("v"), text(c("l_orderkey"))).alias("id")))
         .alias("vehicle"),
     )
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return table(spark, sf_dir, "lineitem").select(
+    return wide_table(spark, sf_dir, "lineitem").select(
         base.alias("feed_timestamp"), order.alias("entity_index"),
         F.struct(text(c("l_orderkey")).alias("id"), update.alias("trip_update")).alias("entity"))
 
@@ -390,5 +449,5 @@ def alert_entity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alert entities, one per line, with route ids of every kind."""
     alert = F.struct(*[v.alias(k) for k, v in alert_payload(bus_id).items()])
     key = F.concat_ws("-", c("l_orderkey"), c("l_linenumber"), c("l_partkey"), c("l_suppkey"))
-    return table(spark, sf_dir, "lineitem").select(
+    return wide_table(spark, sf_dir, "lineitem").select(
         wall_epoch("l_shipdate").alias("feed_timestamp"), F.struct(key.alias("id"), alert.alias("alert")).alias("entity"))
