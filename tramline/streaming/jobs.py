@@ -19,13 +19,16 @@ from tramline.plans.facts import OVERNIGHT_LAST_HOUR
 from tramline.sinks.tables import LatestState
 
 
+# Fixed value: the layout of Spark's binary file source.
+BINARY_FILES = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
 # ---------------------------------------------------------------- sources
 
 
 def snapshot_stream(spark: SparkSession, base: str, feed: str, files_per_batch: int = 1000) -> DataFrame:
     """New snapshot files as they land: (service_date, hour, path, content), ready to be decoded."""
     files = (
-        spark.readStream.format("binaryFile").option("pathGlobFilter", "*.pb")
+        spark.readStream.format("binaryFile").schema(BINARY_FILES).option("pathGlobFilter", "*.pb")
         .option("maxFilesPerTrigger", files_per_batch).load(f"{base.rstrip('/')}/{feed}")
     )
     day = F.regexp_extract("path", r"dt=(\d{4}-\d{2}-\d{2})", 1)
