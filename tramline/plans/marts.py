@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramline.functions.rates import count_share_pct, is_on_time, pct
@@ -124,21 +124,37 @@ def mart_occupancy_route_hour(positions: DataFrame, routes: DataFrame,
 # ---------------------------------------------------------------- alerts
 
 
-def alert_days(periods: DataFrame, first: date, last: date) -> DataFrame:
-    """Active days of each alert within the range: (entity_id, alert_date, period_count).
+def alert_segments(periods: DataFrame, first: date, last: date) -> DataFrame:
+    """Stretches of days on which an alert has the same number of active periods.
 
-    Open-ended periods run to the end of the range. Each period is cut to the
-    range before it is spread over days, so a one-day run spreads nothing.
+    (entity_id, from_day, to_day, period_count), cut to the range and disjoint
+    within an alert. Open-ended periods run to the end of the range. Starts and
+    ends are summed per alert and day first, so the running count of an alert
+    sees at most one row per calendar day, however many periods it has.
     """
     start = F.greatest(F.to_date("active_start"), F.lit(first))
     end = F.least(F.coalesce(F.to_date("active_end"), F.lit(last)), F.lit(last))
     cut = periods.where(F.to_date("active_start") <= F.lit(last)).select(
         "entity_id", start.alias("from_day"), end.alias("to_day")
     ).where(F.col("from_day") <= F.col("to_day"))
-    return (
-        cut.select("entity_id", F.explode(F.sequence("from_day", "to_day")).alias("alert_date"))
-        .groupBy("entity_id", "alert_date").agg(F.count("*").alias("period_count"))
-    )
+    steps = cut.select("entity_id", F.inline(F.array(
+        F.struct(F.col("from_day").alias("day"), F.lit(1).alias("step")),
+        F.struct(F.date_add("to_day", 1).alias("day"), F.lit(-1).alias("step")),
+    ))).groupBy("entity_id", "day").agg(F.sum("step").alias("step")).where(F.col("step") != 0)
+    by_day = Window.partitionBy("entity_id").orderBy("day")
+    return steps.select(
+        "entity_id", F.col("day").alias("from_day"), F.date_sub(F.lead("day").over(by_day), 1).alias("to_day"),
+        F.sum("step").over(by_day).alias("period_count"),
+    ).where(F.col("period_count") > 0)
+
+
+def _each_day(segments: DataFrame) -> DataFrame:
+    return segments.withColumn("alert_date", F.explode(F.sequence("from_day", "to_day"))).drop("from_day", "to_day")
+
+
+def alert_days(periods: DataFrame, first: date, last: date) -> DataFrame:
+    """Active days of each alert within the range: (entity_id, alert_date, period_count)."""
+    return _each_day(alert_segments(periods, first, last)).select("entity_id", "alert_date", "period_count")
 
 
 def _severity_counts() -> list[Column]:
@@ -151,19 +167,19 @@ def mart_alerts_by_day(periods: DataFrame, alert_routes: DataFrame, alerts: Data
                        first: date, last: date) -> DataFrame:
     """Distinct alerts active per day and bus route, in all and by severity.
 
-    Both join sides are reduced to distinct (alert, day) and (alert, route)
-    rows, so each joined row is one distinct alert and plain counts suffice.
+    One side is reduced to distinct (alert, route) rows, the other to disjoint
+    stretches of days, so each day of a joined row is one distinct alert and
+    plain counts suffice. Stretches are joined whole and spread over days last,
+    straight into the partial counts: no (alert, day) row is ever shuffled.
     """
     touched = alert_routes.where(F.col("route_type") == BUS).select("entity_id", "route_id").distinct()
     named = routes.withColumnRenamed("route_short_name", "route_name")
     states = alerts.select("entity_id", "severity_level", "static_version_date")
     affected = join_version(touched.join(states, "entity_id"), named, ["route_id"], ["route_name"])
     affected = affected.select("entity_id", "severity_level", "route_id", "route_name")
-    active = alert_days(periods, first, last).select("entity_id", "alert_date")
-    return (
-        join_hot(affected, active, ["entity_id"], counted=alert_routes.select("entity_id"))
-        .groupBy("alert_date", "route_id", "route_name").agg(*_severity_counts())
-    )
+    active = alert_segments(periods, first, last).drop("period_count")
+    joined = join_hot(affected, active, ["entity_id"], counted=alert_routes.select("entity_id"))
+    return _each_day(joined).groupBy("alert_date", "route_id", "route_name").agg(*_severity_counts())
 
 
 def mart_alerts_by_day_stops(periods: DataFrame, alert_routes: DataFrame, alerts: DataFrame, stops: DataFrame,
@@ -196,11 +212,10 @@ def mart_alerts_by_day_stops(periods: DataFrame, alert_routes: DataFrame, alerts
         return F.sum(F.col(f"{place}_sum") * F.col("period_count")) / F.nullif(
             F.sum(F.col(f"{place}_n") * F.col("period_count")), F.lit(0))
 
-    return (
-        join_hot(by_name, alert_days(periods, first, last), ["entity_id"], counted=alert_routes.select("entity_id"))
-        .groupBy("alert_date", "stop_name")
-        .agg(mean("lat").alias("stop_lat"), mean("lon").alias("stop_lon"), *_severity_counts())
-    )
+    joined = join_hot(by_name, alert_segments(periods, first, last), ["entity_id"],
+                      counted=alert_routes.select("entity_id"))
+    return _each_day(joined).groupBy("alert_date", "stop_name").agg(
+        mean("lat").alias("stop_lat"), mean("lon").alias("stop_lon"), *_severity_counts())
 
 
 # ---------------------------------------------------------------- service delivered
@@ -245,7 +260,11 @@ def first_departures(stop_times: DataFrame) -> DataFrame:
 
 
 def scheduled_trips(trips: DataFrame, routes: DataFrame, stop_times: DataFrame, services: DataFrame) -> DataFrame:
-    """Bus trips planned for each day whose first departure is before 24:00."""
+    """Bus trips planned for each day whose first departure is before 24:00.
+
+    The days of a service (at most those of the calendar) travel through the
+    join as one array and are spread after it.
+    """
     same_day = first_departures(stop_times).where(
         F.split_part("departure_time", F.lit(":"), F.lit(1)).try_cast("int") < 24
     ).select(F.col("feed_start_date").alias("static_version_date"), "trip_id")
@@ -255,8 +274,9 @@ def scheduled_trips(trips: DataFrame, routes: DataFrame, stop_times: DataFrame,
     planned = join_version(planned, buses, ["route_id"], ["route_name"])
     planned = planned.join(same_day, ["static_version_date", "trip_id"], "left_semi")
     keys = trips.select(F.col("feed_start_date").alias("static_version_date"), "service_id")
-    return join_hot(planned, services, ["static_version_date", "service_id"], counted=keys).select(
-        F.col("day").alias("trip_start_date"), "static_version_date", "trip_id", "route_id", "route_name",
+    runs = services.groupBy("static_version_date", "service_id").agg(F.collect_set("day").alias("days"))
+    return join_hot(planned, runs, ["static_version_date", "service_id"], counted=keys).select(
+        F.explode("days").alias("trip_start_date"), "static_version_date", "trip_id", "route_id", "route_name",
         "direction_id")
 
 
