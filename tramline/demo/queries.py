@@ -492,7 +492,7 @@ def scalar_cleanup(spark, sf):
 
 @query
 def route_order(spark, sf):
-    """Place of each route name in rider order and in dashboard order."""
+    """Place of each route name in rider order and in dashboard order; there are at most 25 distinct names."""
     from pyspark.sql import Window
 
     ids = roles.table(spark, sf, "events").select(roles.bus_id(c("user_id") % 25).alias("route_id")).where(
