@@ -320,15 +320,18 @@ def mart_service_delivered(trip_updates: DataFrame, trips: DataFrame, routes: Da
         delivery.where(F.col("delivery_status") != "ADDED")
         .groupBy(*grain)
         .agg(
-            F.max("route_name").alias("route_name"),
             F.count("*").alias("scheduled_trips"),
             with_status("DELIVERED").alias("delivered_trips"),
             with_status("CANCELED").alias("canceled_trips"),
             with_status("NO_RT_DATA").alias("no_rt_data_trips"),
         )
     )
+    # Names join the few groups, not the trips: a text maximum per trip would need sorted aggregation.
+    names = routes.where(F.col("route_type") == BUS).groupBy("feed_start_date", "route_id").agg(
+        F.max("route_short_name").alias("route_name"))
+    named = join_version(counted, names, ["route_id"], ["route_name"])
     added = added_trip_counts(trip_updates, first, last)
-    return left_join_null_safe(counted, added, grain).withColumns({
+    return left_join_null_safe(named, added, grain).withColumns({
         "service_date": F.col("trip_start_date"),
         "added_trips": F.coalesce("added_trips", F.lit(0).cast("bigint")),
         "pct_delivered": pct(F.col("delivered_trips"), F.col("scheduled_trips")),
