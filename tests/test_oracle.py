@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tramline.demo import oracle
+from tramline.demo import queries as registered
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -39,10 +41,10 @@ def repr_key(row):
 
 
 def test_every_query_has_a_twin():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert registered.QUERIES.keys() == oracle.ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(registered.QUERIES))
 def test_query_matches_sql(spark, duck, name):
     df = contract.queries()[name](spark, SF)
     result = duck.execute(contract.oracle_sql()[name])
