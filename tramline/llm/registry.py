@@ -7,9 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tramline.llm.common import table
+from tramline.llm.op1_secrets import digest, scan_secrets
 from tramline.llm.op2_token_codes import token_codes
 from tramline.llm.op4_token_counts import token_counts
+from tramline.llm.op5_decontamination import leaks
 from tramline.llm.op7_packing import pack
+from tramline.llm.op9_toxicity import fit, toxicity
+
+
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(scan_secrets(table(spark, sf_dir, "documents")))
 
 
 def op2_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,11 +27,21 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_codes, op4_token_counts, op7_best_fit_packing)
+    f.__name__: f for f in (op1_secret_scans, op2_token_codes, op4_token_counts, op5_benchmark_decontamination,
+                            op7_best_fit_packing, op9_toxicity)
 }
 ORACLE: dict[str, str] = {}
