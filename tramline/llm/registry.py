@@ -14,6 +14,7 @@ from tramline.llm.op2_token_codes import token_codes
 from tramline.llm.op3_url_filters import url_verdicts
 from tramline.llm.op4_token_counts import token_counts
 from tramline.llm.op5_decontamination import leaks
+from tramline.llm.op6_resharding import resharded
 from tramline.llm.op7_packing import pack
 from tramline.llm.op9_toxicity import fit, toxicity
 
@@ -38,6 +39,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_min_cost_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resharded(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,6 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scans, op2_token_codes, op3_url_filters, op4_token_counts, op5_benchmark_decontamination,
-                            op7_best_fit_packing, op8_embedding_near_dedup, op9_toxicity, op10_ngram_jaccard_join)
+                            op6_min_cost_flow_resharding, op7_best_fit_packing, op8_embedding_near_dedup, op9_toxicity, op10_ngram_jaccard_join)
 }
 ORACLE: dict[str, str] = {"op8_embedding_near_dedup": embeddings.ORACLE, "op10_ngram_jaccard_join": jaccard.ORACLE}
