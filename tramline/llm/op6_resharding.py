@@ -4,7 +4,7 @@ Old and new shards are the two sides of a flow network: an old shard supplies it
 takes its capacity, staying in place costs nothing and moving costs one per byte. The flow says how
 many bytes go from where to where. Inside an old shard documents lie in blocks, large documents
 first, so a shard is a line of bytes; the flow cuts it into stretches, one per destination, the part
-that stays first. A document goes where its first byte lies; the cuts fall among the smallest
+that stays first. A document goes where its middle lies; the cuts fall among the smallest
 documents, so shards differ from their capacity by a few small documents at most.
 
 Only sums per block and per shard are gathered; their number is set by the parameters, not by the data.
@@ -83,7 +83,7 @@ def equal_capacities(total: int, n: int) -> list[int]:
     return [total // n + (k < total % n) for k in range(n)]
 
 
-def _destination(flow: dict[tuple[int, int], int], old: Column, first_byte: Column) -> Column:
+def _destination(flow: dict[tuple[int, int], int], old: Column, middle: Column) -> Column:
     """New shard by the place in the old one: the stretch that stays, then the others by number."""
     out = F.lit(None).cast("int")
     for i in sorted({i for i, _ in flow}, reverse=True):
@@ -91,7 +91,7 @@ def _destination(flow: dict[tuple[int, int], int], old: Column, first_byte: Colu
         ends = list(accumulate(b for _, b in parts))
         stretch = F.lit(parts[-1][0])
         for (j, _), end in reversed(list(zip(parts[:-1], ends[:-1], strict=True))):
-            stretch = F.when(first_byte < end, j).otherwise(stretch)
+            stretch = F.when(middle < end, j).otherwise(stretch)
         out = F.when(old == i, stretch).otherwise(out)
     return out.cast("int")
 
@@ -123,7 +123,7 @@ def plan(docs: DataFrame, old_shard: Column | None = None, old_shards: int = OLD
     def placed(source: DataFrame, columns: list[str]) -> DataFrame:
         at = F.coalesce(F.sum("size").over(inside), F.lit(0))
         found = source.select(*columns, at.alias("at")).join(before, block)
-        return found.withColumn("shard", _destination(flow, F.col("old"), F.col("before") + F.col("at")))
+        return found.withColumn("shard", _destination(flow, F.col("old"), F.col("before") + F.col("at") + F.col("size") / 2))
 
     narrow = ["doc_id", "old", "size", "text_crc32", "class", "sub"]
     counts = placed(rows.select(*narrow), narrow).groupBy("shard", *block).agg(F.count(F.lit(1)).alias("rows"))
