@@ -39,7 +39,8 @@ def split_hot_cells(members: DataFrame, cell: list[str], key: str, most: int) ->
     out = joined.withColumn("_nb", nb).withColumn("block", block)
     out = out.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
     return (out.withColumn("block_i", F.least("block", "_other"))
-            .withColumn("block_j", F.greatest("block", "_other")).drop("_m", "_nb", "_other"))
+            .withColumn("block_j", F.greatest("block", "_other")).drop("_m", "_nb", "_other")
+            .repartition(*cell, "block_i", "block_j"))  # else the join's partitioning by cell alone would be kept
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:

@@ -304,7 +304,7 @@ def _linked(members: DataFrame) -> DataFrame:
               .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     columns = ["cell", "block", "doc", "n", "shared"]
     to = stored(big.select(*columns, F.lit(False).alias("pivot")).unionByName(pivots.select(*columns, F.lit(True).alias("pivot")))
-                .groupBy("cell", "block").applyInPandas(_against_pivots, "cell long, doc long, to long"), "pivot-links")
+                .repartition("cell", "block").groupBy("cell", "block").applyInPandas(_against_pivots, "cell long, doc long, to long"), "pivot-links")
     busiest = (to.groupBy("cell", "to").count().groupBy("cell")
                .agg(F.max_by("to", F.struct("count", "to")).alias("to")))
     hanging = to.join(busiest, ["cell", "to"]).select("cell", "doc").distinct().withColumn("hangs", F.lit(True))
@@ -316,7 +316,8 @@ def _linked(members: DataFrame) -> DataFrame:
     units = (big.where("free").withColumn("i", free_block).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select(*rows, "i", "j")
              .unionByName(big.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("free_blocks") - 1))).select(*rows, "i", F.col("block").alias("j"))))
-    rest = units.dropDuplicates(["cell", "i", "j", "doc", "n", "shared"]).groupBy("cell", "i", "j").applyInPandas(_cell, "a long, b long")
+    units = units.dropDuplicates(["cell", "i", "j", "doc", "n", "shared"]).repartition("cell", "i", "j")
+    rest = units.groupBy("cell", "i", "j").applyInPandas(_cell, "a long, b long")
     return edges.unionByName(rest).unionByName(to.select(F.col("doc").alias("a"), F.col("to").alias("b")))
 
 
