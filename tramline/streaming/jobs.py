@@ -39,7 +39,14 @@ def snapshot_stream(spark: SparkSession, base: str, feed: str, files_per_batch:
 
 def table_stream(spark: SparkSession, folder: str, pattern: str = "*.parquet",
                  files_per_batch: int = 1000) -> DataFrame:
-    """New Parquet files of a folder, with the schema its files have now."""
+    """New Parquet files of a folder, with the schema its files have now.
+
+    ``pattern`` picks files of the folder by name; the name of a table that is a folder of part
+    files streams that folder.
+    """
+    named = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{pattern}")
+    if "*" not in pattern and named.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(named).isDirectory():
+        folder, pattern = named.toString(), "*.parquet"
     schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
     return (
         spark.readStream.schema(schema).option("pathGlobFilter", pattern)
