@@ -1,6 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Three passes over all texts, each a sum or a search inside the tasks:
+The texts are cut into words twice: once to store each word's benchmark term (two bytes), from which
+both statistics are summed, and once for the search.
 
 1. document frequencies of the benchmark's terms over all passages;
 2. a sketch Z = C W of the passages' Gram matrix C = A'A (A: passages by terms, TF-IDF rows of
@@ -20,20 +21,25 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tramline.llm.common import stored
+
 WORD = re.compile(r"[^\W_]+")
+PRODUCT = 1 << 18  # multiplications of one matrix product; larger ones would start threads that wait more than they work
 
 
 @dataclass(frozen=True)
 class Settings:
-    features: int = 1 << 14  # benchmark terms are hashed into so many
+    features: int = 1 << 14  # benchmark terms are hashed into so many (at most 1 << 15: ids are stored in two bytes)
     rank: int = 64
     oversample: int = 16
     passage: int = 32  # words of a passage in the statistics
@@ -95,7 +101,7 @@ def _flat(texts: list, term: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     get, ids, sizes = term.get, [], []
     for t in texts:
         ws = words_of(t)
-        ids.append(np.array([get(w, -1) for w in ws], np.int32))
+        ids.append(np.array(list(map(get, ws, repeat(-1))), np.int32))
         sizes.append(len(ws))
     return np.concatenate(ids) if ids else np.zeros(0, np.int32), np.array(sizes, np.int64)
 
@@ -121,58 +127,72 @@ def _groups(texts: list, most: int = 400_000) -> Iterator[list]:
         yield run
 
 
-def frequencies(docs: DataFrame, items: Items, s: Settings) -> tuple[np.ndarray, int]:
-    """Passages with each term, and the number of passages, over all texts."""
+def term_ids(docs: DataFrame, items: Items) -> DataFrame:
+    """Term of every word of all texts, two bytes each, and the texts' sizes; a row is one run of texts."""
     term = docs.sparkSession.sparkContext.broadcast(items.term)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(s.features + 1)
         for b in batches:
             for texts in _groups(b.column(0).to_pylist()):
                 f, sizes = _flat(texts, term.value)
-                counts[-1] += (-(-sizes // s.passage)).sum()
-                p, known = _passages(sizes, s.passage), f >= 0
-                pairs = np.unique(p[known] * s.features + f[known])
-                counts[:-1] += np.bincount(pairs % s.features, minlength=s.features)
+                yield pa.RecordBatch.from_arrays([pa.array([f.astype(np.int16).tobytes()], pa.binary()),
+                                                  pa.array([sizes.astype(np.int32).tobytes()], pa.binary())], names=["terms", "sizes"])
+
+    return docs.select("text").mapInArrow(run, "terms binary, sizes binary")
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for b in batches:
+        for terms, sizes in zip(b.column(0), b.column(1), strict=True):
+            yield np.frombuffer(terms.as_buffer(), np.int16).astype(np.int64), np.frombuffer(sizes.as_buffer(), np.int32).astype(np.int64)
+
+
+def frequencies(terms: DataFrame, s: Settings) -> tuple[np.ndarray, int]:
+    """Passages with each term, and the number of passages, over all texts (``term_ids``)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(s.features + 1)
+        for f, sizes in _runs(batches):
+            counts[-1] += (-(-sizes // s.passage)).sum()
+            p, known = _passages(sizes, s.passage), f >= 0
+            pairs = np.unique(p[known] * s.features + f[known])
+            counts[:-1] += np.bincount(pairs % s.features, minlength=s.features)
         yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()], pa.binary())], names=["part"])
 
-    total = _summed(docs.select("text").mapInArrow(run, "part binary"), (1, s.features + 1))[0]
+    total = _summed(terms.mapInArrow(run, "part binary"), (1, s.features + 1))[0]
     return total[:-1], int(total[-1])
 
 
-def latent_space(docs: DataFrame, items: Items, idf: np.ndarray, rare: float, s: Settings) -> np.ndarray:
+def latent_space(terms: DataFrame, items: Items, idf: np.ndarray, rare: float, s: Settings) -> np.ndarray:
     """Leading right singular vectors (terms by rank) of all passages and the weighted items."""
     width = s.rank + s.oversample
     omega = np.random.default_rng(s.seed).standard_normal((s.features, width)).astype(np.float32)
-    shared = docs.sparkSession.sparkContext.broadcast((items.term, idf.astype(np.float32)))
+    shared = terms.sparkSession.sparkContext.broadcast(idf.astype(np.float32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        term, weight = shared.value
+        weight = shared.value
         omega = np.random.default_rng(s.seed).standard_normal((s.features, width)).astype(np.float32)
         z, energy = np.zeros((s.features, width)), 0.0
-        for b in batches:
-            for texts in _groups(b.column(0).to_pylist()):
-                f, sizes = _flat(texts, term)
-                p, known = _passages(sizes, s.passage), f >= 0
-                pairs = np.unique(p[known] * s.features + f[known])
-                if not len(pairs):
-                    continue
-                row, col = np.divmod(pairs, s.features)
-                n = int(row[-1]) + 1
-                square = np.bincount(row, weight[col] ** 2, n) + rare ** 2 * np.bincount(p[~known], minlength=n)[:n]
-                a = (weight[col] / np.sqrt(square)[row]).astype(np.float32)
-                energy += float((a ** 2).sum())
-                used, at = np.unique(row, return_index=True)
-                y = np.add.reduceat(a[:, None] * omega[col], at)
-                order = np.argsort(col, kind="stable")
-                terms, first = np.unique(col[order], return_index=True)
-                place = np.searchsorted(used, row[order])
-                z[terms] += np.add.reduceat(a[order, None] * y[place], first)
+        for f, sizes in _runs(batches):
+            p, known = _passages(sizes, s.passage), f >= 0
+            pairs = np.unique(p[known] * s.features + f[known])
+            if not len(pairs):
+                continue
+            row, col = np.divmod(pairs, s.features)
+            n = int(row[-1]) + 1
+            square = np.bincount(row, weight[col] ** 2, n) + rare ** 2 * np.bincount(p[~known], minlength=n)[:n]
+            a = (weight[col] / np.sqrt(square)[row]).astype(np.float32)
+            energy += float((a ** 2).sum())
+            used, at = np.unique(row, return_index=True)
+            y = np.add.reduceat(a[:, None] * omega[col], at)
+            order = np.argsort(col, kind="stable")
+            hit, first = np.unique(col[order], return_index=True)
+            place = np.searchsorted(used, row[order])
+            z[hit] += np.add.reduceat(a[order, None] * y[place], first)
         last = np.zeros((1, width))
         last[0, 0] = energy
         yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([z, last]).tobytes()], pa.binary())], names=["part"])
 
-    total = _summed(docs.select("text").mapInArrow(run, "part binary"), (s.features + 1, width))
+    total = _summed(terms.mapInArrow(run, "part binary"), (s.features + 1, width))
     z, energy = total[:-1].copy(), total[-1, 0]
     t = items.rows(idf).astype(np.float64)
     z += max(energy, 1.0) / max(1, len(t)) * (t.T @ (t @ omega))
@@ -194,6 +214,8 @@ class Search:
         self.known = np.append(idf ** 2, 0.0)
         self.vector = np.concatenate([space * idf[:, None], np.zeros((1, space.shape[1]))]).astype(np.float32)
         latent = items.rows(idf) @ space
+        self.at_once = max(1, PRODUCT // max(1, self.vector.shape[1] * len(items.ids)))
+        self.counts = [list(Counter(ws).items()) for ws in items.words]
         self.latent = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
     def text(self, text: str | None) -> list[tuple[int, int, int, float, int, float]]:
@@ -202,22 +224,22 @@ class Search:
         n = len(words)
         if not n:
             return []
-        f = np.array([self.items.term.get(w, -1) for w in words], np.int64)
-        starts = np.append(np.arange(0, max(1, n - s.window), s.stride), max(0, n - s.window))
+        f = np.array(list(map(self.items.term.get, words, repeat(-1))), np.int64)
+        starts = np.unique(np.append(np.arange(0, max(1, n - s.window), s.stride), max(0, n - s.window)))
         ends = np.minimum(starts + s.window, n)
         known = np.concatenate([[0.0], np.cumsum(self.known[f])])
         total = np.concatenate([[0.0], np.cumsum(self.square[f])])
         inside, length = known[ends] - known[starts], total[ends] - total[starts]
         pick = np.flatnonzero(inside >= s.share * np.maximum(length, 1e-9))
         best: dict[int, tuple] = {}
-        for w in np.unique(pick):
-            latent = self.vector[f[starts[w]:ends[w]]].sum(0)
-            norm = np.linalg.norm(latent)
-            if norm == 0:
-                continue
-            cosines = self.latent @ (latent / norm)
-            for k in np.flatnonzero(cosines >= s.cosine):
-                self._compare(int(k), float(cosines[k]), words, int(starts[w]), best)
+        padded = np.append(f, np.full(s.window, -1))  # -1 reads the vector of zeros
+        for at in range(0, len(pick), self.at_once):
+            first = starts[pick[at:at + self.at_once]]
+            latent = self.vector[padded[first[:, None] + np.arange(s.window)]].sum(1)
+            latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
+            cosines = latent @ self.latent.T
+            for w, k in zip(*(x.tolist() for x in np.nonzero(cosines >= s.cosine)), strict=True):
+                self._compare(k, float(cosines[w, k]), words, int(first[w]), best)
         return [(self.items.ids[k], *v) for k, v in sorted(best.items())]
 
     def _compare(self, k: int, cosine: float, words: list[str], start: int, best: dict[int, tuple]) -> None:
@@ -225,6 +247,9 @@ class Search:
         spare = max(4, len(item))
         a, b = max(0, start - spare), start + s.window + spare
         place = words[a:b]
+        here = set(place)
+        if sum(n for w, n in self.counts[k] if w in here) < s.lcs * len(item):
+            return  # no common subsequence is longer than the item's words that are here at all
         common = lcs_length(item, place)
         if common < s.lcs * len(item):
             return
@@ -243,10 +268,11 @@ def model(docs: DataFrame, benchmark: DataFrame, s: Settings, item_col: str, ite
     items = Items([tuple(r) for r in rows], s)
     if not items.ids:
         return None
-    df, n = frequencies(docs, items, s)
+    terms = stored(term_ids(docs, items), "terms")
+    df, n = frequencies(terms, s)
     idf = np.log((2 + n) / (1 + df))
     rare = float(np.log(2 + n))
-    return Search(items, idf, rare, latent_space(docs, items, idf, rare, s), s)
+    return Search(items, idf, rare, latent_space(terms, items, idf, rare, s), s)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text",
@@ -254,7 +280,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     """One row per leaked item of each contaminated row of ``docs``; clean rows give none.
 
     Null and empty texts and items are clean. Ids may be null or repeat; other columns are not read.
-    No shuffle of texts: two tree sums of matrices of fixed size, then one search pass.
+    No shuffle of texts: term ids are stored, two tree sums of matrices of fixed size, then one search pass.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     search = model(texts, benchmark, settings, item_col, item_text_col, answer_col)
