@@ -86,11 +86,11 @@ def test_merge_ignores_older_and_equal(spark, at):
 def test_hot_join_equals_join(spark):
     many = spark.range(3000).select(F.when(F.col("id") < 1500, 0).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("m"))
     few = spark.range(200).select((F.col("id") % 60).alias("k"), F.col("id").alias("f"))
-    assert [r.k for r in hot_keys(many, ["k"], floor=1).collect()] == [0]
+    assert [r.k for r in hot_keys(many, ["k"]).collect()] == [0]
     for how in ("inner", "left"):
-        assert tuples(join_hot(many, few, ["k"], how, salts=8, floor=1), "k", "m", "f") == tuples(
+        assert tuples(join_hot(many, few, ["k"], how), "k", "m", "f") == tuples(
             many.join(few, ["k"], how), "k", "m", "f")
-    parts = join_hot(many, few, ["k"], salts=8, floor=1).where("k = 0").select(F.col("m"))
+    parts = join_hot(many, few, ["k"]).where("k = 0").select(F.col("m"))
     assert parts.count() == many.where("k = 0").count() * few.where("k = 0").count()
 
 

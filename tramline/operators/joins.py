@@ -11,21 +11,21 @@ from pyspark.sql import functions as F
 # A key is hot when it holds more than 1/HOT_SHARE of the rows. At most
 # HOT_SHARE keys can do so, which bounds the broadcast list of hot keys.
 HOT_SHARE = 64
-SALTS = 64
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE, floor: int = 100_000) -> DataFrame:
-    """Keys that hold more than 1/share of all rows and at least ``floor`` rows; fewer than ``share`` rows."""
+def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
+    """Keys that hold more than 1/share of all rows, and that part (``__part``); fewer than ``share`` rows."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("__n"))
     total = counts.agg(F.sum("__n")).scalar()
-    return counts.where((F.col("__n") > total / F.lit(share)) & (F.col("__n") >= floor)).select(*keys)
+    return counts.where(F.col("__n") > total / F.lit(share)).select(*keys, (F.col("__n") / total).alias("__part"))
 
 
 def join_hot(many: DataFrame, few: DataFrame, on: Sequence[str], how: str = "inner",
-             salts: int = SALTS, floor: int = 100_000, counted: DataFrame | None = None) -> DataFrame:
-    """Equi join whose hot keys are spread over ``salts`` partitions.
+             counted: DataFrame | None = None) -> DataFrame:
+    """Equi join whose hot keys are spread over partitions in proportion to their rows.
 
-    Rows of ``many`` with a hot key get a salt from a hash of all their columns;
+    Rows of ``many`` with a hot key get a salt from a hash of all their columns, out of
+    as many as the key's part of all rows is of the shuffle partitions (two at least);
     rows of ``few`` with that key are repeated once per salt. All other rows
     have salt 0 on both sides and are not repeated. ``how`` may be ``inner`` or
     ``left`` (``many`` is the preserved side). Key columns must not be NULL in
@@ -39,14 +39,16 @@ def join_hot(many: DataFrame, few: DataFrame, on: Sequence[str], how: str = "inn
     if how not in ("inner", "left"):
         raise ValueError("join_hot supports inner and left joins")
     on = list(on)
-    hot = F.broadcast(hot_keys(many if counted is None else counted, on, floor=floor).withColumn("__hot", F.lit(True)))
+    partitions = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(many if counted is None else counted, on).select(
+        *on, F.greatest(F.lit(2), F.ceil(F.col("__part") * F.lit(partitions))).cast("int").alias("__hot")))
     fragment = (
         many.join(hot, on, "left")
-        .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*many.columns), F.lit(salts)).cast("int"))
+        .withColumn("__salt", F.when(F.col("__hot").isNotNull(), F.pmod(F.xxhash64(*many.columns), F.col("__hot")).cast("int"))
                     .otherwise(F.lit(0)))
         .drop("__hot")
     )
-    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copies = F.when(F.col("__hot").isNotNull(), F.sequence(F.lit(0), F.col("__hot") - 1)).otherwise(F.array(F.lit(0)))
     replica = few.join(hot, on, "left").withColumn("__salt", F.explode(copies)).drop("__hot")
     return fragment.join(replica, [*on, "__salt"], how).drop("__salt")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from tramline.functions.text import schedule_relation
 from tramline.functions.times import seconds_since_midnight
 from tramline.operators.joins import join_hot, left_join_null_safe
 from tramline.operators.latest import first_per_key
-from tramline.operators.versions import join_version, link_version
+from tramline.operators.versions import join_version, link_version, version_on
 from tramline.schemas import (
     METRIC_OCCUPANCY_ROUTE_HOUR, METRIC_ON_TIME, METRIC_SERVICE_DELIVERED, columns_of,
 )
@@ -94,12 +94,14 @@ def mart_occupancy_route_hour(positions: DataFrame, routes: DataFrame,
     """Occupancy of bus snapshots by service date, hour and route.
 
     Snapshots are counted per version first; the route table then meets these
-    few counts instead of every snapshot.
+    few counts instead of every snapshot. A snapshot's day is its trip's day or the next, so the
+    trip day, by which facts are stored, bounds the scan.
     """
+    before = first - timedelta(days=1) if first else None
     counts = {name: F.count_if(F.col("occupancy_status") == status) for name, status in OCCUPANCY_SHARES.items()}
     counts["pct_no_data_occupancy"] = F.count_if(F.col("occupancy_status").isNull())
     partial = (
-        positions.where(_between("service_date", first, last) & (F.col("current_stop_sequence") != 1))
+        positions.where(_between("trip_start_date", before, last) & _between("service_date", first, last) & (F.col("current_stop_sequence") != 1))
         .groupBy("service_date", "hour", "route_id", "static_version_date")
         .agg(
             F.count("*").alias("snapshot_count"),
@@ -308,7 +310,14 @@ def added_trip_counts(trip_updates: DataFrame, first: date, last: date) -> DataF
 def mart_service_delivered(trip_updates: DataFrame, trips: DataFrame, routes: DataFrame, stop_times: DataFrame,
                            calendar: DataFrame, calendar_dates: DataFrame, versions: DataFrame,
                            first: date, last: date) -> DataFrame:
-    """Planned, delivered, canceled, unseen and added trips per day, route and direction."""
+    """Planned, delivered, canceled, unseen and added trips per day, route and direction.
+
+    Only schedule versions in force within the range are read: from the one on ``first`` on.
+    """
+    oldest = F.coalesce(version_on(versions, first), F.lit(first))
+    trips, routes, stop_times, calendar, calendar_dates = (
+        dim.where(F.col("feed_start_date").between(oldest, F.lit(last)))
+        for dim in (trips, routes, stop_times, calendar, calendar_dates))
     services = active_services(calendar, calendar_dates, versions, first, last)
     delivery = trip_delivery(scheduled_trips(trips, routes, stop_times, services), trip_updates, first, last)
 
