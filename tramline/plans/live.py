@@ -32,7 +32,8 @@ def newest_feed(entities: DataFrame) -> DataFrame:
 def newest_per_vehicle(entities: DataFrame) -> DataFrame:
     """The newest entity per entity id, for feeds that publish changes only."""
     keyed = entities.withColumn("__id", F.col("entity.id"))
-    order = [F.col("entity.vehicle.timestamp").desc_nulls_last(), F.col("feed_timestamp").desc_nulls_last()]
+    order = [F.col("entity.vehicle.timestamp").desc_nulls_last(), F.col("feed_timestamp").desc_nulls_last(),
+             F.xxhash64("entity")]  # equal stamps: the same row on every run
     return first_per_key(keyed, ["__id"], order).drop("__id")
 
 
@@ -162,7 +163,7 @@ def vehicles_of_route(vehicles: DataFrame, route_id: str | None) -> DataFrame:
 def one_vehicle(vehicles: DataFrame, vehicle_id: str) -> DataFrame:
     """The vehicle with this id, or no row when it is not visible."""
     return top_overall(vehicles.where(F.col("vehicle_id") == vehicle_id),
-                       [F.col("updated_timestamp").desc_nulls_last()], 1)
+                       [F.col("updated_timestamp").desc_nulls_last(), F.xxhash64(*vehicles.columns)], 1)
 
 
 def live_routes(vehicles: DataFrame) -> DataFrame:
