@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tramline.plans import facts, marts
 from tramline.plans.raw import RAW_BUILDERS
 from tramline.schemas import TABLES, conform
-from tramline.sinks.tables import LatestState, replace_days, replace_partitions, write_dimensions
+from tramline.sinks.tables import LatestState, clear_days, replace_days, replace_partitions, write_dimensions
 from tramline.sources.schedule import build_dimensions, find_version
 from tramline.sources.snapshots import decode_snapshots, read_snapshot_files
 
@@ -57,12 +57,17 @@ def load_schedule(warehouse: Warehouse, schedule_base: str, day: date | None = N
 
 def load_raw(warehouse: Warehouse, snapshot_base: str, feed: str, first: date, last: date,
              stride: int | None = None) -> None:
-    """Decode the snapshots of a range of days into the raw table of the feed."""
+    """Decode the snapshots of a range of days into the raw table of the feed.
+
+    The days are deleted first, so hours and days that now hold no rows don't keep old ones; a
+    failed load is run again.
+    """
     stride = stride or (TRIP_UPDATE_STRIDE if feed == "trip_updates" else 1)
     files = read_snapshot_files(warehouse.spark, snapshot_base, feed, first, last, stride)
     if files is None:
         return
     table = f"raw_{feed}"
+    clear_days(warehouse.spark, warehouse.path(table), "service_date", days_between(first, last))
     replace_partitions(RAW_BUILDERS[feed](decode_snapshots(files, feed)), warehouse.path(table), TABLES[table][1])
 
 

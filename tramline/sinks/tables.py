@@ -45,6 +45,14 @@ def replace_days(df: DataFrame, path: str, column: str, days: Sequence[date]) ->
                 f"{path.rstrip('/')}/{column}={day.isoformat()}")
 
 
+def clear_days(spark: SparkSession, path: str, column: str, days: Sequence[date]) -> None:
+    """Deletes the folders of the given days, whatever lies below them."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for day in days:
+        folder = hadoop.Path(f"{path.rstrip('/')}/{column}={day.isoformat()}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_dimensions(tables: dict[str, DataFrame], base: str) -> None:
     """Replace one schedule version in each dimension table."""
     for name, df in tables.items():
