@@ -14,7 +14,9 @@ both statistics are summed, and once for the search.
    (its answer, if no column names one) against the same place.
 
 Terms outside the benchmark only add to a window's length; a window whose known terms hold too
-small a share of that length cannot reach the cosine and is skipped before projection.
+small a share of that length cannot reach the cosine and is skipped before projection. An item is
+searched in a text only if the whole text holds enough of its words for the subsequence asked for;
+this bound is exact, so it drops no leak.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from tramline.llm.common import stored
 
 WORD = re.compile(r"[^\W_]+")
 PRODUCT = 1 << 18  # multiplications of one matrix product; larger ones would start threads that wait more than they work
+TOGETHER = 4000  # terms of passages multiplied at once, so that their rows stay in the processor's cache
 
 
 @dataclass(frozen=True)
@@ -182,12 +185,15 @@ def latent_space(terms: DataFrame, items: Items, idf: np.ndarray, rare: float, s
             square = np.bincount(row, weight[col] ** 2, n) + rare ** 2 * np.bincount(p[~known], minlength=n)[:n]
             a = (weight[col] / np.sqrt(square)[row]).astype(np.float32)
             energy += float((a ** 2).sum())
-            used, at = np.unique(row, return_index=True)
-            y = np.add.reduceat(a[:, None] * omega[col], at)
-            order = np.argsort(col, kind="stable")
-            hit, first = np.unique(col[order], return_index=True)
-            place = np.searchsorted(used, row[order])
-            z[hit] += np.add.reduceat(a[order, None] * y[place], first)
+            cuts = np.searchsorted(row, np.unique(row[::TOGETHER])).tolist()
+            for i, j in zip(cuts, [*cuts[1:], len(row)], strict=True):
+                r, c, part = row[i:j], col[i:j], a[i:j]
+                used, at = np.unique(r, return_index=True)
+                y = np.add.reduceat(part[:, None] * omega[c], at)
+                order = np.argsort(c, kind="stable")
+                hit, first = np.unique(c[order], return_index=True)
+                place = np.searchsorted(used, r[order])
+                z[hit] += np.add.reduceat(part[order, None] * y[place], first)
         last = np.zeros((1, width))
         last[0, 0] = energy
         yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([z, last]).tobytes()], pa.binary())], names=["part"])
@@ -216,6 +222,11 @@ class Search:
         latent = items.rows(idf) @ space
         self.at_once = max(1, PRODUCT // max(1, self.vector.shape[1] * len(items.ids)))
         self.counts = [list(Counter(ws).items()) for ws in items.words]
+        sizes = np.array([len(ws) for ws in items.words])
+        self.flat = np.array([items.term[w] for ws in items.words for w in ws])
+        self.first = np.cumsum(sizes) - sizes
+        self.least = s.lcs * sizes
+        self.seen = np.zeros(s.features + 1, bool)
         self.latent = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
     def text(self, text: str | None) -> list[tuple[int, int, int, float, int, float]]:
@@ -225,6 +236,9 @@ class Search:
         if not n:
             return []
         f = np.array(list(map(self.items.term.get, words, repeat(-1))), np.int64)
+        able = self._able(f)
+        if not len(able):
+            return []
         starts = np.unique(np.append(np.arange(0, max(1, n - s.window), s.stride), max(0, n - s.window)))
         ends = np.minimum(starts + s.window, n)
         known = np.concatenate([[0.0], np.cumsum(self.known[f])])
@@ -232,16 +246,25 @@ class Search:
         inside, length = known[ends] - known[starts], total[ends] - total[starts]
         pick = np.flatnonzero(inside >= s.share * np.maximum(length, 1e-9))
         best: dict[int, tuple] = {}
+        latent_items = self.latent[able].T
         padded = np.append(f, np.full(s.window, -1))  # -1 reads the vector of zeros
         for at in range(0, len(pick), self.at_once):
             first = starts[pick[at:at + self.at_once]]
             latent = self.vector[padded[first[:, None] + np.arange(s.window)]].sum(1)
             latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-            cosines = latent @ self.latent.T
+            cosines = latent @ latent_items
             for w, k in zip(*(x.tolist() for x in np.nonzero(cosines >= s.cosine)), strict=True):
-                self._compare(k, float(cosines[w, k]), words, int(first[w]), best)
+                self._compare(int(able[k]), float(cosines[w, k]), words, int(first[w]), best)
         return [(self.items.ids[k], *v) for k, v in sorted(best.items())]
 
+    def _able(self, f: np.ndarray) -> np.ndarray:
+        """Items that have enough of their words anywhere in a text with these terms; no other can share so long a subsequence."""
+        self.seen[f] = True
+        self.seen[-1] = False  # words outside the benchmark
+        able = np.flatnonzero(np.add.reduceat(self.seen[self.flat], self.first, dtype=np.int64) >= self.least)
+        self.seen[f] = False
+        return able
+
     def _compare(self, k: int, cosine: float, words: list[str], start: int, best: dict[int, tuple]) -> None:
         item, answer, s = self.items.words[k], self.items.answers[k], self.s
         spare = max(4, len(item))
