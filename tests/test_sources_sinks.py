@@ -180,6 +180,39 @@ def test_state_survives_an_unfinished_merge(spark, tmp_path):
     assert [r.route_type for r in state.read().collect()] == [3]
 
 
+def touched_routes(spark, *entities, stamp="2024-01-02T00:00:00", kind=3):
+    return rows(spark, s.FACT_ALERTS_ROUTES, *[{"entity_id": e, "route_id": "1", "stop_id": "s", "snapshot_timestamp": stamp,
+                                               "route_type": kind} for e in entities])
+
+
+def test_merges_from_the_same_state_keep_both(spark, tmp_path, monkeypatch):
+    first, second = (sinks.LatestState(spark, str(tmp_path / "state"), s.FACT_ALERTS_ROUTES, ["entity_id"], buckets=2) for _ in range(2))
+    first.merge(touched_routes(spark, "a"))
+    stale, now = first._newest(), second._newest
+    first.merge(touched_routes(spark, "b", "a", stamp="2024-01-03T00:00:00", kind=2))
+    seen = iter([stale])
+    monkeypatch.setattr(second, "_newest", lambda: next(seen, None) or now())
+    second.merge(touched_routes(spark, "c", "a"))
+    assert sorted((r.entity_id, r.route_type) for r in first.read().collect()) == [("a", 2), ("b", 2), ("c", 3)]
+    assert not list((tmp_path / "state" / "rows").glob("*-batch")) and not list((tmp_path / "state" / "manifests").glob("draft*"))
+
+
+def test_a_merge_rewrites_only_its_buckets_and_old_states_go(spark, tmp_path):
+    state = sinks.LatestState(spark, str(tmp_path / "state"), s.FACT_ALERTS_ROUTES, ["entity_id"], buckets=8)
+    state.merge(touched_routes(spark, *"abcdefgh"))
+    before = state._newest()[1]
+    state.merge(touched_routes(spark, "a", stamp="2024-01-03T00:00:00"))
+    after = state._newest()[1]
+    assert len(before) > 1 and sum(before[b] != after[b] for b in before) == 1
+    state.merge(touched_routes(spark))  # an empty batch makes no state
+    assert state._newest()[0] == 2
+    for day in range(4, 4 + sinks.KEEP):
+        state.merge(touched_routes(spark, *"abcdefgh", stamp=f"2024-01-{day:02}T00:00:00"))
+    assert len(list((tmp_path / "state" / "manifests").glob("[0-9]*"))) == sinks.KEEP
+    assert not any((tmp_path / folder.split(str(tmp_path) + "/")[1]).exists() for folder in before.values())
+    assert state.read().count() == 8
+
+
 def test_recent_lines(spark, tmp_path):
     path = str(tmp_path / "recent")
     df = rows(spark, s.RECENT_SNAPSHOT, {"snapshot_unix": 1704067207, "entity_id": "a", "latitude": 1.5},
