@@ -32,6 +32,8 @@ def constraint_report(df: DataFrame, keys: Sequence[str], required: Sequence[str
         F.lit("unique " + ", ".join(keys)).alias("rule"),
         F.coalesce(F.sum(F.col("row_count") - 1), F.lit(0)).cast("bigint").alias("violations"),
     )
+    if not required:
+        return duplicates
     nulls = null_counts(df, required).select(
         F.concat(F.lit("not null "), F.col("column_name")).alias("rule"),
         F.col("null_count").cast("bigint").alias("violations"),

@@ -7,9 +7,12 @@ facts keep the newest state whatever the order of runs, marts replace their days
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tramline.operators.checks import constraint_report
 from tramline.plans import facts, marts
 from tramline.plans.raw import RAW_BUILDERS
 from tramline.schemas import TABLES, conform
@@ -18,6 +21,9 @@ from tramline.sources.schedule import build_dimensions, find_version
 from tramline.sources.snapshots import decode_snapshots, read_snapshot_files
 
 TRIP_UPDATE_STRIDE = 5
+CHECKED_TABLES = ("fact_vehicle_positions", "fact_trip_updates", "fact_alerts", "fact_alerts_routes", "fact_alerts_active_periods",
+                  "metric_on_time", "metric_occupancy_route_hour", "metric_alerts_by_day", "metric_alerts_by_day_stops",
+                  "metric_service_delivered")
 ALERT_TABLES = ("fact_alerts", "fact_alerts_routes", "fact_alerts_active_periods")
 
 
@@ -106,11 +112,45 @@ def build_marts(warehouse: Warehouse, first: date, last: date) -> None:
         replace_days(conform(rows, layout), warehouse.path(table), day, days)
 
 
+def checked_columns(table: str) -> tuple[str, list[str], list[str]]:
+    """Column that a table's days are read by, declared keys and required columns."""
+    _, partitions, keys, required = TABLES[table]
+    return (partitions or ["snapshot_timestamp"])[0], list(keys), list(required)
+
+
+def check_days(warehouse: Warehouse, first: date, last: date) -> DataFrame:
+    """(table_name, rule, violations) of a range's fact and mart rows; raw rows without a schedule version are a rule too."""
+    reports = []
+    for table in CHECKED_TABLES:
+        day, keys, required = checked_columns(table)
+        rows = warehouse.read(table)
+        if table not in ALERT_TABLES:
+            rows = rows.where(F.col(day).between(F.lit(first), F.lit(last)))
+        reports.append(constraint_report(rows, keys, required).select(F.lit(table).alias("table_name"), "rule", "violations"))
+    oldest = warehouse.read("dim_static_versions").agg(F.min("feed_start_date")).scalar()
+    for table in ("raw_vehicle_positions", "raw_trip_updates"):
+        early = warehouse.read(table).where(F.col("service_date").between(F.lit(first), F.date_add(F.lit(last), 1)) & F.col("trip_start_date").between(F.lit(first), F.lit(last))
+                                            & F.coalesce(F.col("trip_start_date") < oldest, F.lit(True)))
+        reports.append(early.agg(F.lit(table).alias("table_name"), F.lit("has a schedule version").alias("rule"), F.count("*").alias("violations")))
+    return reduce(DataFrame.unionByName, reports)
+
+
+def write_checks(warehouse: Warehouse, first: date, last: date, run_day: date) -> None:
+    """Stores the report of a range under ``run_day``; a missing required value stops the run after the report is stored."""
+    path = warehouse.path("load_checks")
+    replace_partitions(check_days(warehouse, first, last).withColumn("run_day", F.lit(run_day)), path, ["run_day"])
+    report = warehouse.spark.read.parquet(path).where((F.col("run_day") == F.lit(run_day)) & F.col("rule").startswith("not null") & (F.col("violations") > 0))
+    broken = [f"{r.table_name}: {r.rule} ({r.violations})" for r in report.collect()]  # one row per declared rule at most
+    if broken:
+        raise ValueError("required values are missing: " + ", ".join(sorted(broken)))
+
+
 def nightly(warehouse: Warehouse, snapshot_base: str, schedule_base: str, run_day: date) -> None:
-    """Everything one night does: load the day before, build facts and marts of two days before."""
+    """Everything one night does: load the day before, build facts and marts of two days before, check them."""
     loaded, built = facts.load_day(run_day), facts.fact_day(run_day)
     load_schedule(warehouse, schedule_base, loaded)
     for feed in RAW_BUILDERS:
         load_raw(warehouse, snapshot_base, feed, loaded, loaded)
     build_facts(warehouse, built, built)
     build_marts(warehouse, built, built)
+    write_checks(warehouse, built, built, run_day)
