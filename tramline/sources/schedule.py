@@ -146,6 +146,8 @@ def read_live_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         ])
 
     shapes = text("shapes", "shape_id", "shape_pt_sequence", "shape_pt_lat", "shape_pt_lon")
+    if not any(c.lstrip("\ufeff") == "shape_pt_sequence" for c in read_schedule_csv(spark, f"{folder}/shapes.txt").columns):
+        shapes = shapes.withColumn("shape_pt_sequence", F.lit("0"))  # a file without the column puts every point at 0
     return {
         "stops": text("stops", "stop_id", "stop_name").where((F.col("stop_id") != "") & (F.col("stop_name") != "")),
         "trips": text("trips", "trip_id", "route_id", "direction_id", "shape_id", "trip_headsign"),
