@@ -111,6 +111,27 @@ def test_leaks_and_clean(spark, docs):
     assert decon.leaks(docs([]), bench).count() == 0
 
 
+@pytest.mark.parametrize("every", [4, 3])
+def test_paraphrased_leaks_in_a_large_corpus(spark, docs, monkeypatch, every):
+    """Items of common words with a fourth or nearly a third of them replaced, document frequencies as of 1e8 passages."""
+    frequencies = decon.frequencies
+
+    def scaled(terms, s):
+        df, n = frequencies(terms, s)
+        return df * (1e8 / n), 10**8
+    monkeypatch.setattr(decon, "frequencies", scaled)
+    rng = random.Random(9)
+    common = [f"c{k}" for k in range(300)]
+    prose = lambda n: " ".join(rng.choice(common) if rng.random() < 0.7 else f"o{rng.randrange(5000)}" for _ in range(n))
+    items = [(k, " ".join(rng.sample(common, 40))) for k in range(20)]
+    rows = [(i, prose(300)) for i in range(60)]
+    for k, t in items:
+        words = [f"o{rng.randrange(5000)}" if i % every == 1 and i < 36 else w for i, w in enumerate(t.split())]
+        rows.append((1000 + k, f"{prose(50)} {' '.join(words)} {prose(50)}"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decon.leaks(docs(rows), bench).collect()} == {(1000 + k, k) for k, _ in items}
+
+
 def near_copies(rng, n, words, edits):
     base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
     out = []

@@ -13,10 +13,9 @@ both statistics are summed, and once for the search.
    compared word by word: longest common subsequence against the item, and the item's last words
    (its answer, if no column names one) against the same place.
 
-Terms outside the benchmark only add to a window's length; a window whose known terms hold too
-small a share of that length cannot reach the cosine and is skipped before projection. An item is
-searched in a text only if the whole text holds enough of its words for the subsequence asked for;
-this bound is exact, so it drops no leak.
+An item is searched in a text only if the whole text holds enough of its words for the subsequence
+asked for, and at a window only if the place around it does; both bounds are exact, so they drop no
+leak. Words outside the benchmark play no part in the search, however many or common they are.
 """
 
 from __future__ import annotations
@@ -48,7 +47,6 @@ class Settings:
     passage: int = 32  # words of a passage in the statistics
     window: int = 24
     stride: int = 8
-    share: float = 0.3  # least part of a window's squared length in benchmark terms
     cosine: float = 0.3  # least latent cosine of a candidate
     lcs: float = 0.7  # least common subsequence over the item's words
     answer: float = 0.6  # the same for the answer's words
@@ -214,10 +212,8 @@ def latent_space(terms: DataFrame, items: Items, idf: np.ndarray, rare: float, s
 class Search:
     """Finds leaks of the items in one text."""
 
-    def __init__(self, items: Items, idf: np.ndarray, rare: float, space: np.ndarray, s: Settings):
-        self.items, self.s, self.rare = items, s, rare
-        self.square = np.append(idf ** 2, rare ** 2)  # -1 reads the last: a term outside the benchmark
-        self.known = np.append(idf ** 2, 0.0)
+    def __init__(self, items: Items, idf: np.ndarray, space: np.ndarray, s: Settings):
+        self.items, self.s = items, s
         self.vector = np.concatenate([space * idf[:, None], np.zeros((1, space.shape[1]))]).astype(np.float32)
         latent = items.rows(idf) @ space
         self.at_once = max(1, PRODUCT // max(1, self.vector.shape[1] * len(items.ids)))
@@ -226,6 +222,8 @@ class Search:
         self.flat = np.array([items.term[w] for ws in items.words for w in ws])
         self.first = np.cumsum(sizes) - sizes
         self.least = s.lcs * sizes
+        self.spare = np.maximum(4, sizes)  # words of the place before and after a window
+        self.terms = [np.unique(part) for part in np.split(self.flat, self.first[1:])]
         self.seen = np.zeros(s.features + 1, bool)
         self.latent = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
@@ -240,20 +238,18 @@ class Search:
         if not len(able):
             return []
         starts = np.unique(np.append(np.arange(0, max(1, n - s.window), s.stride), max(0, n - s.window)))
-        ends = np.minimum(starts + s.window, n)
-        known = np.concatenate([[0.0], np.cumsum(self.known[f])])
-        total = np.concatenate([[0.0], np.cumsum(self.square[f])])
-        inside, length = known[ends] - known[starts], total[ends] - total[starts]
-        pick = np.flatnonzero(inside >= s.share * np.maximum(length, 1e-9))
+        near = self._near(f, able, starts)
+        pick = np.flatnonzero(near.any(axis=0))
         best: dict[int, tuple] = {}
         latent_items = self.latent[able].T
         padded = np.append(f, np.full(s.window, -1))  # -1 reads the vector of zeros
         for at in range(0, len(pick), self.at_once):
-            first = starts[pick[at:at + self.at_once]]
+            now = pick[at:at + self.at_once]
+            first = starts[now]
             latent = self.vector[padded[first[:, None] + np.arange(s.window)]].sum(1)
             latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
             cosines = latent @ latent_items
-            for w, k in zip(*(x.tolist() for x in np.nonzero(cosines >= s.cosine)), strict=True):
+            for w, k in zip(*(x.tolist() for x in np.nonzero((cosines >= s.cosine) & near[:, now].T)), strict=True):
                 self._compare(int(able[k]), float(cosines[w, k]), words, int(first[w]), best)
         return [(self.items.ids[k], *v) for k, v in sorted(best.items())]
 
@@ -265,9 +261,20 @@ class Search:
         self.seen[f] = False
         return able
 
+    def _near(self, f: np.ndarray, able: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Per item and window, whether the place around the window holds so many of the item's words as the subsequence asks for."""
+        near = np.zeros((len(able), len(starts)), bool)
+        for i, k in enumerate(able.tolist()):
+            self.seen[self.terms[k]] = True
+            held = np.concatenate([[0], np.cumsum(self.seen[f])])  # -1 reads the last: never seen
+            self.seen[self.terms[k]] = False
+            spare = self.spare[k]
+            near[i] = held[np.minimum(starts + self.s.window + spare, len(f))] - held[np.maximum(starts - spare, 0)] >= self.least[k]
+        return near
+
     def _compare(self, k: int, cosine: float, words: list[str], start: int, best: dict[int, tuple]) -> None:
         item, answer, s = self.items.words[k], self.items.answers[k], self.s
-        spare = max(4, len(item))
+        spare = int(self.spare[k])
         a, b = max(0, start - spare), start + s.window + spare
         place = words[a:b]
         here = set(place)
@@ -295,7 +302,7 @@ def model(docs: DataFrame, benchmark: DataFrame, s: Settings, item_col: str, ite
     df, n = frequencies(terms, s)
     idf = np.log((2 + n) / (1 + df))
     rare = float(np.log(2 + n))
-    return Search(items, idf, rare, latent_space(terms, items, idf, rare, s), s)
+    return Search(items, idf, latent_space(terms, items, idf, rare, s), s)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text",
