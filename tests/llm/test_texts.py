@@ -132,6 +132,21 @@ def test_paraphrased_leaks_in_a_large_corpus(spark, docs, monkeypatch, every):
     assert {(r["doc_id"], r["item_id"]) for r in decon.leaks(docs(rows), bench).collect()} == {(1000 + k, k) for k, _ in items}
 
 
+def test_leaks_of_partial_copies_and_answers(spark, docs):
+    rng = random.Random(10)
+    prose = lambda n: " ".join(f"p{rng.randrange(900)}" for _ in range(n))
+    items = [(k, [f"i{k}x{j}" for j in range(40)]) for k in range(10)]
+    rows = [(i, prose(200)) for i in range(40)]
+    rows += [(1000 + k, f"{prose(50)} {' '.join(t[:30])} {prose(50)}") for k, t in items]  # the first three quarters word for word
+    rows += [(2000 + k, f"{prose(50)} {' '.join(t[:20] + t[26:])} {prose(50)}") for k, t in items]  # the answer, if it is the end, is there
+    bench = spark.createDataFrame([(k, " ".join(t), " ".join(t[30:]) if k < 5 else None) for k, t in items], "item_id long, text string, answer string")
+    got = {(r["doc_id"], r["item_id"]): r["answer_share"] for r in decon.leaks(docs(rows), bench).collect()}
+    assert got == {(b + k, k): None for k, _ in items for b in (1000, 2000)}
+    assert {r["doc_id"] for r in decon.keep_uncontaminated(docs(rows), bench).collect()} == set(range(40))
+    got = {(r["doc_id"], r["item_id"]): r["answer_share"] for r in decon.leaks(docs(rows), bench, answer_col="answer").collect()}
+    assert got == {(2000 + k, k): 1.0 if k < 5 else None for k, _ in items} | {(1000 + k, k): None for k in range(5, 10)}
+
+
 def near_copies(rng, n, words, edits):
     base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
     out = []

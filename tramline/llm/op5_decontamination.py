@@ -10,8 +10,8 @@ both statistics are summed, and once for the search.
    a randomised SVD in one pass. Benchmark items take part as passages that together weigh as much
    as the corpus.
 3. windows of every text, projected to the latent space, against all items by cosine. Candidates are
-   compared word by word: longest common subsequence against the item, and the item's last words
-   (its answer, if no column names one) against the same place.
+   compared word by word: longest common subsequence against the item and, where a column gives the
+   item's answer, of the answer against the same place. Without one the item's subsequence decides.
 
 An item is searched in a text only if the whole text holds enough of its words for the subsequence
 asked for, and at a window only if the place around it does; both bounds are exact, so they drop no
@@ -49,8 +49,7 @@ class Settings:
     stride: int = 8
     cosine: float = 0.3  # least latent cosine of a candidate
     lcs: float = 0.7  # least common subsequence over the item's words
-    answer: float = 0.6  # the same for the answer's words
-    answer_part: float = 0.25  # last part of an item that stands for its answer
+    answer: float = 0.6  # the same for the answer's words, of items with an answer
     seed: int = 11
 
 
@@ -81,7 +80,7 @@ class Items:
             if words := words_of(text):
                 self.ids.append(i)
                 self.words.append(words)
-                self.answers.append(words_of(answer) or words[-max(1, round(len(words) * s.answer_part)):])
+                self.answers.append(words_of(answer))
         self.term = {w: zlib.crc32(w.encode("utf-8", "surrogatepass")) % s.features for ws in self.words for w in ws}
 
     def rows(self, idf: np.ndarray) -> np.ndarray:
@@ -227,8 +226,8 @@ class Search:
         self.seen = np.zeros(s.features + 1, bool)
         self.latent = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
-    def text(self, text: str | None) -> list[tuple[int, int, int, float, int, float]]:
-        """Item, words in common, first word of the place, cosine, words of the item, part of the answer; best per item."""
+    def text(self, text: str | None) -> list[tuple[int, int, int, float, int, float | None]]:
+        """Item, words in common, first word of the place, cosine, words of the item, part of the answer if it has one; best per item."""
         s, words = self.s, words_of(text)
         n = len(words)
         if not n:
@@ -283,8 +282,8 @@ class Search:
         common = lcs_length(item, place)
         if common < s.lcs * len(item):
             return
-        part = lcs_length(answer, place) / len(answer)
-        if part >= s.answer and (k not in best or common > best[k][0]):
+        part = lcs_length(answer, place) / len(answer) if answer else None
+        if (part is None or part >= s.answer) and (k not in best or common > best[k][0]):
             best[k] = (common, a, cosine, len(item), part)
 
 
@@ -310,6 +309,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     """One row per leaked item of each contaminated row of ``docs``; clean rows give none.
 
     Null and empty texts and items are clean. Ids may be null or repeat; other columns are not read.
+    ``answer_share`` is null for items without an answer.
     No shuffle of texts: term ids are stored, two tree sums of matrices of fixed size, then one search pass.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
