@@ -78,6 +78,22 @@ def test_toxicity_finds_unseen_spellings(spark, docs):
     assert tox.fit(docs([]), table).probability(0.0) < 1
 
 
+def test_toxicity_learns_from_whole_texts(spark, docs):
+    """The word that earns the label stands behind word 900 of every positive text, and nowhere else."""
+    rng = random.Random(4)
+    plain = [f"{a}{b}{c}" for a in ("riv", "sto", "lig", "gar", "win") for b in ("er", "ne", "ht", "den") for c in ("", "s", "ly")]
+    rows = []
+    for i in range(240):
+        words = [rng.choice(plain) for _ in range(1000)]
+        if i % 3 == 0:
+            words[rng.randrange(900, 1000)] = "grumblox"
+        rows.append((i, " ".join(words)))
+    table = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    out = {r["doc_id"]: r for r in tox.toxicity(docs(rows), tox.fit(docs(rows), table)).collect()}
+    held = [(out[i]["predicted"], int(i % 3 == 0)) for i, _ in rows if out[i]["held_out"]]
+    assert sum(p == y for p, y in held) / len(held) > 0.9
+
+
 def test_longest_common_subsequence():
     def plain(a, b):
         row = [0] * (len(b) + 1)
