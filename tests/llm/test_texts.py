@@ -57,6 +57,20 @@ def test_secret_spans(docs):
     assert HEX not in clean[9]["text"] and clean[9]["n_chars"] == len(clean[9]["text"]) and clean[1]["text"] is None
 
 
+def test_secrets_in_paths_addresses_and_names():
+    key = "Zx9Qv7Lm2Kp4Rt8Wb6Yd3Hs5"
+    for text, secret in ((f"me@chat.com/{key} now", key), (f"example_key={key}", key), (f"//www.chat.com/services/T0A1/{key}", key),
+                         (f"https://{key}@host.example.org/x", key),
+                         ("aws_secret_access_key = wJalrXUtnFEMI/K7MDENG/bPxRfiCY2q9Zt4wKEY", "wJalrXUtnFEMI/K7MDENG/bPxRfiCY2q9Zt4wKEY")):
+        assert any(secret in text[a:b] for _, a, b in secrets.find_secrets(text)), text
+    for text in ("/opt/python3/lib/site-packages/numpy2/core/tests", "me@lists.news.com/2023/04/15/how-to-build-apps", "key=example0123456789abcdefghij",
+                 "docs/release-2024/Install-Guide-v12/index"):
+        assert not [k for k, _, _ in secrets.find_secrets(text) if k == "entropy"], text
+    rng, chars = random.Random(12), "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])) + "+/"
+    keys = ["".join(rng.choice(chars) for _ in range(40)) for _ in range(2000)]
+    assert sum(not secrets.find_secrets(k) for k in keys) < 20
+
+
 def test_toxicity_finds_unseen_spellings(spark, docs):
     rng = random.Random(3)
     plain = ["river", "stone", "light", "table", "garden", "window", "paper", "morning", "letter", "forest"]

@@ -4,7 +4,8 @@ Candidates are long runs of key characters. For each class (hexadecimal, mixed)
 the class's stretches; entering and leaving characters change the counts and the running sum of
 c * log2(c), so a step costs the same whatever the window. Windows at or above the class's threshold
 merge into a span. An allow-list drops what is dense but no secret: words, numbers, dates, UUIDs,
-paths and addresses, alphabets and placeholders. The allow-list never touches the fixed patterns.
+paths and addresses whose segments are made of names, and spans that hold an alphabet or a
+placeholder themselves. The allow-list never touches the fixed patterns.
 """
 
 from __future__ import annotations
@@ -32,10 +33,12 @@ ALLOWED = (
     re.compile(r"[A-Za-z_.=+/-]+"),  # no digit: words, identifiers
     re.compile(r"[0-9_.=+/-]+"),  # no letter: numbers, dates, rules
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
-    re.compile(r".*(example|placeholder|xxxx|0123456789|abcdefghij).*", re.IGNORECASE | re.ASCII),
-    re.compile(r"[A-Za-z0-9_-]*(/[A-Za-z0-9_.-]{1,19})+/?"),  # paths of short names
     re.compile(r"[a-z0-9-]{1,19}(\.[a-z0-9-]{1,19})+"),  # host names
 )
+PATH = re.compile(r"[A-Za-z0-9_-]*(/[A-Za-z0-9_.-]{1,19})+/?")
+PLACEHOLDER = re.compile(r"example|placeholder|xxxx|0123456789|abcdefghij", re.IGNORECASE | re.ASCII)
+NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+NAME_LENGTH = 2.5  # characters of a name in the mean; those of random keys have 1.6
 PART = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
@@ -62,9 +65,25 @@ def dense_windows(text: str, threshold: float, window: int = WINDOW) -> list[tup
     return spans
 
 
+def named(text: str) -> bool:
+    """Whether a path is made of words and numbers, as a whole and in each segment long enough to be a key."""
+    def mean(part: str) -> bool:
+        names = NAME.findall(part)
+        return sum(map(len, names)) >= NAME_LENGTH * len(names)
+    return mean(text) and all(mean(s) for s in re.split("[/=.]", text) if len(s) >= WINDOW)
+
+
 def allowed(text: str, before: str) -> bool:
     """Whether the candidate is on the allow-list; addresses are known by what stands before them."""
-    return before.endswith(("://", "@", "www.")) or any(p.fullmatch(text) for p in ALLOWED)
+    if any(p.fullmatch(text) for p in ALLOWED):
+        return True
+    return bool(before.endswith(("://", "@", "www.")) or PATH.fullmatch(text)) and named(text)
+
+
+def placeholder(span: str) -> bool:
+    """Whether a dense span is an alphabet or a placeholder itself, whatever name is joined to it by ``=``."""
+    long = [part for part in span.split("=") if len(part) >= WINDOW] or [span]
+    return all(PLACEHOLDER.search(part) for part in long)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -82,7 +101,7 @@ def entropy_spans(text: str) -> list[tuple[str, int, int]]:
         spans = sorted((m.start() + s.start() + a, m.start() + s.start() + b)
                        for _, stretch, threshold in CLASSES for s in stretch.finditer(m[0])
                        if re.search("[0-9]", s[0]) and re.search("[A-Za-z]", s[0])
-                       for a, b in dense_windows(s[0], threshold))
+                       for a, b in dense_windows(s[0], threshold) if not placeholder(s[0][a:b]))
         for a, b in spans:
             if found and a <= found[-1][1]:
                 found[-1] = (found[-1][0], max(b, found[-1][1]))
