@@ -17,6 +17,8 @@ from tramline.llm.op5_decontamination import leaks
 from tramline.llm.op6_resharding import resharded
 from tramline.llm.op7_packing import pack
 from tramline.llm.op9_toxicity import fit, toxicity
+from tramline.llm import op11_source_divergence as sources
+from tramline.llm import op13_importance_resampling as resampling
 from tramline.llm.op12_byte_bpe import digests
 
 
@@ -61,12 +63,22 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.source_divergence(table(spark, sf_dir, "documents"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.importance_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scans, op2_token_codes, op3_url_filters, op4_token_counts, op5_benchmark_decontamination,
-                            op6_min_cost_flow_resharding, op7_best_fit_packing, op8_embedding_near_dedup, op9_toxicity, op10_ngram_jaccard_join, op12_byte_bpe)
+                            op6_min_cost_flow_resharding, op7_best_fit_packing, op8_embedding_near_dedup, op9_toxicity, op10_ngram_jaccard_join,
+                            op11_source_divergence, op12_byte_bpe, op13_importance_resampling)
 }
-ORACLE: dict[str, str] = {"op8_embedding_near_dedup": embeddings.ORACLE, "op10_ngram_jaccard_join": jaccard.ORACLE}
+ORACLE: dict[str, str] = {"op8_embedding_near_dedup": embeddings.ORACLE, "op10_ngram_jaccard_join": jaccard.ORACLE,
+                          "op11_source_divergence": sources.ORACLE, "op13_importance_resampling": resampling.ORACLE}
