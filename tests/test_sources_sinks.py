@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tramline import schemas as s
 from tramline.plans import daily, raw
 from tramline.sinks import tables as sinks
-from tramline.sources import feed_spec, schedule
+from tramline.sources import feed_spec, schedule, snapshot_tree
 from tramline.sources.recent import read_recent
 from tramline.sources.snapshots import decode_snapshots, read_snapshot_files
 
@@ -261,3 +261,89 @@ def test_nightly_from_files_to_marts(spark, tmp_path):
         assert warehouse.read("metric_alerts_by_day_stops").first().stop_name == "Side"
         assert warehouse.read("metric_occupancy_route_hour").agg(F.sum("snapshot_count")).first()[0] == 3
         assert warehouse.read("fact_alerts").count() == 1
+
+
+def tree(base, days=("2024-01-09", "2024-01-10", "2024-01-11"), hours=(4, 5), minutes=range(12)):
+    for day in days:
+        for hour in hours:
+            for minute in minutes:
+                snapshot(base, "trip_updates", hour, minute, lambda m: update(m, "t", 0), day=day)
+    return f"{base}/trip_updates"
+
+
+def test_both_readers_take_the_same_files(spark, tmp_path):
+    tree(tmp_path)
+    day = date(2024, 1, 10)
+    for stride in (1, 5):
+        found = [{(r.service_date, r.hour, os.path.basename(r.path), bytes(r.content)) for r in read_snapshot_files(
+            spark, str(tmp_path), "trip_updates", day, day, stride, reader).collect()} for reader in ("tree", "spark")]
+        assert found[0] == found[1] and len(found[0]) == (24 if stride == 1 else 6)
+
+
+def test_foreign_days_are_never_listed(tmp_path, monkeypatch):
+    root, listed = tree(tmp_path), []
+
+    class Store:
+        def __init__(self, store):
+            self.store = store
+
+        def get_file_info(self, selector):
+            listed.append(os.path.basename(selector.base_dir))
+            return self.store.get_file_info(selector)
+
+    opened = snapshot_tree.open_store
+    monkeypatch.setattr(snapshot_tree, "open_store", lambda r: (Store(opened(r)[0]), opened(r)[1]))
+    options = {"path": root, "first": "2024-01-10", "last": "2024-01-10"}
+    planned = snapshot_tree.TreeReader(options).partitions()
+    assert listed == ["dt=2024-01-10"] and [f for p in planned for f in p.folders] == [
+        (date(2024, 1, 10), h, f"dt=2024-01-10/hour={h:02}") for h in (4, 5)]
+    listed.clear()
+    reader = snapshot_tree.PushedTreeReader({"path": root})
+    kept = snapshot_tree.GreaterThan(("service_date",), date(2024, 1, 10)), snapshot_tree.EqualTo(("hour",), 4)
+    assert list(reader.pushFilters(list(kept))) == [kept[1]]
+    assert [f[0] for p in reader.partitions() for f in p.folders] == [date(2024, 1, 11)] * 2
+    assert set(listed) == {"trip_updates", "dt=2024-01-11"}
+
+
+def test_tree_days_are_pushed_down(spark, tmp_path):
+    root = tree(tmp_path, minutes=(0, 1))
+    spark.conf.set(snapshot_tree.PUSHDOWN, "true")
+    try:
+        files = snapshot_tree.read_tree(spark, root).where(F.col("service_date").isin(date(2024, 1, 9), date(2024, 1, 11)) & (F.col("hour") == 5))
+        assert sorted((r.service_date.day, r.hour) for r in files.collect()) == [(9, 5)] * 2 + [(11, 5)] * 2
+        assert files.rdd.getNumPartitions() == 4  # the hour folders of two days
+    finally:
+        spark.conf.unset(snapshot_tree.PUSHDOWN)
+    assert snapshot_tree.read_tree(spark, root).count() == 12
+    assert snapshot_tree.read_tree(spark, root, slices=3).count() == 12
+    assert snapshot_tree.read_tree(spark, f"{root}/none").count() == 0
+
+
+def test_tree_groups_hours_and_skips_other_files(spark, tmp_path):
+    root = tree(tmp_path, hours=range(24), minutes=(0,))
+    (tmp_path / "trip_updates/dt=2024-01-09/hour=03/.draft.pb").write_bytes(b"x")
+    (tmp_path / "trip_updates/dt=2024-01-09/hour=03/notes.txt").write_bytes(b"x")
+    planned = snapshot_tree.TreeReader({"path": root, "partitions": "10"}).partitions()
+    assert len(planned) == 9 and sum(len(p.folders) for p in planned) == 72
+    assert snapshot_tree.read_tree(spark, root).count() == 72
+
+
+def test_tree_round_trip(spark, tmp_path):
+    files = spark.createDataFrame([(date(2024, 1, 10), 3, "x/a.pb", b"one"), (date(2024, 1, 10), None, "b.pb", b""), (date(2024, 1, 11), 23, "c.pb", b"three")],
+                                  snapshot_tree.SCHEMA)
+    root = f"file:{tmp_path}/out"
+    for _ in range(2):  # a repeated write leaves the same files
+        snapshot_tree.write_tree(files, root)
+    got = {(r.service_date, r.hour, r.path[len(root):], bytes(r.content)) for r in snapshot_tree.read_tree(spark, root).collect()}
+    assert got == {(date(2024, 1, 10), 3, "/dt=2024-01-10/hour=03/a.pb", b"one"), (date(2024, 1, 10), None, "/dt=2024-01-10/b.pb", b""),
+                   (date(2024, 1, 11), 23, "/dt=2024-01-11/hour=23/c.pb", b"three")}
+
+
+def test_raw_days_go_when_their_feed_is_gone(spark, tmp_path):
+    feeds = tmp_path / "rt"
+    snapshot(feeds, "alerts", 3, 0, lambda m: alert(m, "a"))
+    warehouse = daily.Warehouse(spark, str(tmp_path / "wh"))
+    daily.load_raw(warehouse, str(feeds), "alerts", date(2024, 1, 10), date(2024, 1, 10))
+    assert warehouse.read("raw_alerts").count() == 1
+    daily.load_raw(warehouse, str(tmp_path / "nowhere"), "alerts", date(2024, 1, 10), date(2024, 1, 10))
+    assert warehouse.read("raw_alerts").count() == 0

@@ -3,24 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.demo import roles
+from tramline.demo import roles, trees
 from tramline.demo.feeds import encode_vehicle_snapshots, encode_trip_updates, encode_alerts
 from tramline.functions import rates, times
 from tramline.functions import text as texts
 from tramline.operators import checks, latest, merge, sampling
 from tramline.operators.versions import link_version
-from tramline.plans import dashboards, facts, live, marts, raw
+from tramline.plans import daily, dashboards, facts, live, marts, raw
 from tramline.schemas import FACT_ALERTS, TABLES, columns_of, conform
 from tramline.session import scratch_dir
 from tramline.sinks import tables as sinks
 from tramline.sources import schedule
 from tramline.sources.recent import read_recent
-from tramline.sources.snapshots import decode_snapshots
+from tramline.sources.snapshots import decode_snapshots, read_snapshot_files
 from tramline.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -542,6 +542,67 @@ def protobuf_alerts(spark, sf):
         F.count("*").alias("alert_count"), F.max("snapshot_timestamp").alias("last_snapshot"))
 
 
+def _from_tree(spark: SparkSession, entities: DataFrame, feed: str, stride: int = 1) -> DataFrame:
+    """The raw table of a feed whose snapshot tree is written first and read back as files."""
+    base = scratch_dir(spark, "rt")
+    trees.write_entities(entities, base, feed)
+    files = read_snapshot_files(spark, base, feed, *trees.day_range(entities), stride)
+    return raw.RAW_BUILDERS[feed](decode_snapshots(files, feed)).drop("ingested_at")
+
+
+@query
+def raw_positions_from_files(spark, sf):
+    """Every file of every hour, every column of the raw table; the carriages as text."""
+    rows = _from_tree(spark, trees.position_entities(roles.raw_vehicle_positions(spark, sf)), "vehicle_positions")
+    carriages = trees.flat("multi_carriage_details", *[lambda x, f=f: x[f] for f in (
+        "id", "label", "occupancy_status", "occupancy_percentage", "carriage_sequence")])
+    return rows.withColumn("carriages", carriages).drop("multi_carriage_details")
+
+
+@query
+def raw_updates_from_files(spark, sf):
+    """Every fifth file of each hour, every column of the raw table; nested ones as text."""
+    rows = _from_tree(spark, trees.update_entities(roles.raw_trip_updates(spark, sf)), "trip_updates", daily.TRIP_UPDATE_STRIDE)
+    stops = trees.flat(
+        "stop_time_update", lambda x: x.stop_sequence, lambda x: x.arrival.delay, lambda x: x.arrival.time, lambda x: x.arrival.uncertainty,
+        lambda x: x.departure.time, lambda x: x.stop_id, lambda x: x.schedule_relationship)
+    return rows.withColumns({
+        "stops": stops, "modification": c("modified_trip.modifications_id"), "property_trip": c("trip_properties.trip_id"),
+        "property_shape": c("trip_properties.shape_id")}).drop("stop_time_update", "modified_trip", "trip_properties")
+
+
+@query
+def raw_alerts_from_files(spark, sf):
+    """The newest snapshot of each alert and day, every column of the raw table; lists and texts flattened."""
+    lines = roles.table(spark, sf, "lineitem")
+    rows = roles.raw_alerts_of(lines, F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    found = _from_tree(spark, trees.alert_entities(rows), "alerts")
+    told = {f: trees.flat(f"{f}.translation", lambda x: x.text, lambda x: x.language) for f in (
+        "url", "header_text", "description_text", "tts_header_text", "tts_description_text", "cause_detail", "effect_detail")}
+    lists = {
+        "active_period": trees.flat("active_period", lambda x: x.start, lambda x: x.end),
+        "informed_entity": trees.flat("informed_entity", *[lambda x, f=f: x[f] for f in (
+            "agency_id", "route_id", "route_type", "stop_id", "direction_id")], lambda x: x.trip.trip_id),
+    }
+    return found.withColumns(told | lists)
+
+
+@query
+def raw_day_reload(spark, sf):
+    """A range of days loaded twice: the second time with other entities, without some hours and without whole days."""
+    base = [scratch_dir(spark, "rt") for _ in range(2)]
+    entities = trees.position_entities(roles.raw_vehicle_positions(spark, sf))
+    even = c("entity.id").cast("bigint") % 2 == 0
+    there = ~c("hour").between(3, 5) & (F.dayofmonth("service_date") != 10)
+    trees.write_entities(entities.where(even), base[0], "vehicle_positions")
+    trees.write_entities(entities.where(~even & there), base[1], "vehicle_positions")
+    first, last = trees.day_range(entities)
+    warehouse = daily.Warehouse(spark, scratch_dir(spark, "warehouse"))
+    daily.load_raw(warehouse, base[0], "vehicle_positions", first, last)
+    daily.load_raw(warehouse, base[1], "vehicle_positions", first, first + timedelta(days=15))
+    return warehouse.read("raw_vehicle_positions").select("service_date", "hour", "entity_id", "snapshot_timestamp")
+
+
 @query
 def csv_dims_roundtrip(spark, sf):
     """Stop times written as a schedule folder of text files and read back as a typed dimension."""

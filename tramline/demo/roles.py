@@ -353,13 +353,13 @@ def raw_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_alerts_of(wide_table(spark, sf_dir, "lineitem"))
 
 
-def raw_alerts_of(lines: DataFrame) -> DataFrame:
+def raw_alerts_of(lines: DataFrame, entity_id: Column | None = None) -> DataFrame:
     hour = c("l_partkey") % 24
     snapshot = plus_seconds(c("l_shipdate"), hour * 3600 + (c("l_suppkey") % 60) * 60)
     rows = lines.select(
         F.to_date("l_shipdate").alias("service_date"), hour.alias("hour"), snapshot.alias("snapshot_timestamp"),
         plus_seconds(snapshot, F.lit(3600)).alias("ingested_at"), F.lit("2.0").alias("gtfs_realtime_version"),
-        text(c("l_orderkey")).alias("entity_id"),
+        (text(c("l_orderkey")) if entity_id is None else entity_id).alias("entity_id"),
         F.when(c("l_tax") == 0.08, True).when(c("l_tax") != 0.07, False).alias("is_deleted"),
         *[v.alias(k) for k, v in alert_payload(text).items()],
     )

@@ -70,10 +70,10 @@ def load_raw(warehouse: Warehouse, snapshot_base: str, feed: str, first: date, l
     """
     stride = stride or (TRIP_UPDATE_STRIDE if feed == "trip_updates" else 1)
     files = read_snapshot_files(warehouse.spark, snapshot_base, feed, first, last, stride)
-    if files is None:
-        return
     table = f"raw_{feed}"
     clear_days(warehouse.spark, warehouse.path(table), "service_date", days_between(first, last))
+    if files is None:
+        return
     replace_partitions(RAW_BUILDERS[feed](decode_snapshots(files, feed)), warehouse.path(table), TABLES[table][1])
 
 

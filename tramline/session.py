@@ -23,6 +23,8 @@ def build_session(app_name: str = "tramline", master: str | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Conditions on a day reach the snapshot tree before its folders are listed.
+        .config("spark.sql.python.filterPushdown.enabled", "true")
         # Larger generated methods are not compiled by the JVM; wide nested
         # projections then run faster outside whole-stage code generation.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
