@@ -26,7 +26,7 @@ TOP = 10
 SCALE = 1_000_000_000
 TALLIES = 400_000  # distinct (group, term) counts held by a task before they are handed on
 BLOCK = 4 << 20  # bytes of text cut into terms at once
-CELLS = 2_000_000  # terms times sources compared in one block
+CELLS = 50_000  # terms times sources compared in one block, more where the block's pairs would outnumber them
 ROWS = 200_000  # rows a task gathers before it reduces them to skybands
 #: Bytes of terms stay, A-Z in lower case; all others become spaces.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -190,7 +190,7 @@ def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP)
     wide = sources.groupBy("lang").agg(F.count(F.lit(1)).alias("n_sources"))
     groups = stored(sources.join(wide, "lang").join(sizes, ["lang", "source"], "left").join(langs, "lang", "left")
                     .na.fill(0, ["n_group", "n_lang", "v"])
-                    .withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("v") * F.col("n_sources") / CELLS)).cast("int")), "op11-groups")
+                    .withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("v") * F.col("n_sources") / F.greatest(F.lit(CELLS), F.col("n_sources") * F.col("n_sources")))).cast("int")), "op11-groups")
 
     in_group = kept.join(groups, ["lang", "source"])
     block = F.pmod(F.xxhash64("term"), F.col("blocks").cast("long")).cast("int").alias("block")
