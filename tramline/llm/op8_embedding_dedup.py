@@ -2,8 +2,9 @@
 
 Unit vectors with cosine >= 0.98 are at most 0.2 apart, so on a random axis their projections differ
 by about 0.2 / sqrt(dim) at most. Each label is cut into cells by the first axes; a vector is at home
-in one cell and also visits, as a query, every cell that its window on an axis reaches into. Inside a
-cell the projections on ``PROJECTIONS`` more axes are sorted one by one, each vector's window is
+in one cell and also visits every cell that its window reaches downwards, from the upper to the lower side of
+axes. Two vectors meet in the cell that is on the lower side wherever their homes differ, and are counted there alone.
+Inside a cell the projections on ``PROJECTIONS`` more axes are sorted one by one, each vector's window is
 looked up in the sorted order, and collisions are counted per pair. Pairs with at least
 ``needed()`` collisions are verified by their cosine in double precision.
 
@@ -71,8 +72,9 @@ def collisions(p: np.ndarray, reach: float) -> np.ndarray:
         order = np.argsort(p[:, k], kind="stable")
         sorted_ = p[order, k]
         low, high = np.searchsorted(sorted_, p[:, k] - reach), np.searchsorted(sorted_, p[:, k] + reach, "right")
-        for i in range(n):
-            counts[i, order[low[i]:high[i]]] += 1
+        place = np.empty(n, np.int32)
+        place[order] = np.arange(n, dtype=np.int32)
+        counts += (place >= low.astype(np.int32)[:, None]) & (place < high.astype(np.int32)[:, None])
     return counts
 
 
@@ -100,33 +102,32 @@ def unit(raw: bytes) -> np.ndarray:
 
 
 def _cells(reps: DataFrame, cuts: dict[int, np.ndarray]) -> DataFrame:
-    """Rows (label, dim, cell, home) of each distinct vector: its own cell and those its windows reach."""
+    """Rows (label, dim, cell, home) of each distinct vector: its own cell and those its windows reach downwards."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = {n: [] for n in ("label", "dim", "cell", "home", "rep", "copies", "x")}
             for r in b.to_pylist():
                 x = unit(r["x"])
                 dim = len(x)
-                p = x @ axes(dim)[:, :r["cut"]] - cuts[dim][:r["cut"]]
-                side, near = p >= 0, np.abs(p) <= REACH * deviation(dim)
-                home = sum(1 << k for k in np.flatnonzero(side))
+                p = x @ axes(dim)[:, :r["cut"]] - cuts.get(dim, np.zeros(AXES))[:r["cut"]]
+                home = sum(1 << int(k) for k in np.flatnonzero(p >= 0))
                 reach = [home]
-                for k in np.flatnonzero(near):
+                for k in np.flatnonzero((p >= 0) & (p <= REACH * deviation(dim))):
                     reach += [c ^ 1 << int(k) for c in reach]
                 for c in reach:
-                    for n, v in zip(rows, (r["label"], dim, int(c), c == home, r["rep"], r["copies"], r["x"]), strict=True):
+                    for n, v in zip(rows, (r["label"], dim, c, home, r["rep"], r["copies"], r["x"]), strict=True):
                         rows[n].append(v)
             yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([
-                ("label", pa.string()), ("dim", pa.int32()), ("cell", pa.int64()), ("home", pa.bool_()),
+                ("label", pa.string()), ("dim", pa.int32()), ("cell", pa.int64()), ("home", pa.int64()),
                 ("rep", pa.int64()), ("copies", pa.int64()), ("x", pa.binary())]))
 
-    return reps.mapInArrow(run, "label string, dim int, cell long, home boolean, rep long, copies long, x binary")
+    return reps.mapInArrow(run, "label string, dim int, cell long, home long, rep long, copies long, x binary")
 
 
 def _unit_links(part: pd.DataFrame) -> pd.DataFrame:
     """Of a task: per vector how many others it links to (kind 0), and edges that connect them (kind 1).
 
-    A pair counts where its smaller id is at home, so the other cells that both visit don't count it again.
+    A pair counts in the cell of the sides that both homes have in common, so other cells that both visit don't count it again.
     """
     part = part.sort_values("rep", ignore_index=True)
     raw = np.stack([np.frombuffer(x, np.float64) for x in part["x"]])
@@ -134,9 +135,9 @@ def _unit_links(part: pd.DataFrame) -> pd.DataFrame:
     units = scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
     dim = units.shape[1]
     counts = collisions(units @ axes(dim)[:, AXES:], WINDOW * deviation(dim))
-    block, home = part["block"].to_numpy(), part["home"].to_numpy(bool)
+    block, home = part["block"].to_numpy(), part["home"].to_numpy()
     i, j = part["block_i"].iloc[0], part["block_j"].iloc[0]
-    ask = np.triu(counts >= needed(), 1) & home[:, None]
+    ask = np.triu(counts >= needed(), 1) & (home[:, None] & home[None, :] == part["cell"].iloc[0])
     if i != j:
         ask &= block[:, None] != block[None, :]
     a, b = np.nonzero(ask)
@@ -176,10 +177,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", label_col: str =
                                     F.first("label").alias("label"), F.first("x").alias("x"))
     reps = stored(reps.withColumn("dim", (F.octet_length("x") / 8).cast("int")), "distinct-vectors")
     sample = reps.select("x").orderBy(F.xxhash64("x")).limit(SAMPLE).collect()
-    cuts: dict[int, np.ndarray] = {}
-    for dim in (r["dim"] for r in reps.select("dim").distinct().limit(1000).collect()):
-        taken = [unit(r["x"]) for r in sample if len(r["x"]) == 8 * dim]
-        cuts[dim] = np.median(np.stack(taken) @ axes(dim)[:, :AXES], axis=0) if taken else np.zeros(AXES)
+    cuts: dict[int, np.ndarray] = {}  # of the lengths in the sample; vectors of others are cut at 0
+    for dim in {len(r["x"]) // 8 for r in sample}:
+        cuts[dim] = np.median(np.stack([unit(r["x"]) for r in sample if len(r["x"]) == 8 * dim]) @ axes(dim)[:, :AXES], axis=0)
     cut = reps.groupBy("label", "dim").agg(F.least(F.lit(AXES), F.greatest(F.lit(1), F.ceil(F.log2(F.count(F.lit(1)) / CELL)) + 1)).cast("int").alias("cut"))
     cells = _cells(reps.join(cut, ["label", "dim"]).select("label", "rep", "copies", "x", "cut"), cuts)
     tasks = split_hot_cells(cells, ["label", "dim", "cell"], "rep", CELL)
