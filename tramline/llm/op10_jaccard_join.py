@@ -39,7 +39,7 @@ SHINGLE = 5
 PERCENT = 80  # linked: 100 * intersection >= PERCENT * union
 CELL = 512  # documents compared in one task
 PIVOTS = 8
-BUCKET = 4_000_000  # shingles dealt to one task
+BUCKET = 1_000_000  # shingles dealt to one task
 HOT_SHARE = 0.01  # of all documents; at most 1 / HOT_SHARE such shingles per shingle of a mean document
 HOT_BASE = 1 << 30  # rank of frequent shingles: behind all others
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
