@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tramline import schemas as s
 from tramline.plans import daily, raw
 from tramline.sinks import tables as sinks
+from tramline.sinks.state import LatestState
 from tramline.sources import feed_spec, schedule, snapshot_tree
 from tramline.sources.recent import read_recent
 from tramline.sources.snapshots import decode_snapshots, read_snapshot_files
@@ -164,7 +165,7 @@ def test_replace_days_clears_empty_days(spark, tmp_path):
 
 
 def test_state_survives_an_unfinished_merge(spark, tmp_path):
-    state = sinks.LatestState(spark, str(tmp_path / "state"), s.FACT_ALERTS_ROUTES, ["entity_id", "route_id", "stop_id"])
+    state = LatestState(spark, str(tmp_path / "state"), s.FACT_ALERTS_ROUTES, ["entity_id", "route_id", "stop_id"])
     assert state.read().count() == 0
 
     def batch(stamp, kind):
@@ -172,8 +173,9 @@ def test_state_survives_an_unfinished_merge(spark, tmp_path):
                                                  "snapshot_timestamp": stamp, "route_type": kind})
 
     state.merge(batch("2024-01-02T00:00:00", 2))
-    unfinished = tmp_path / "state" / "state=9999999999-dead"
-    unfinished.mkdir()
+    dead = tmp_path / "state" / "parts" / "000000000000000-dead"  # a merge that died before its job was committed
+    dead.mkdir()
+    (dead / "part-0.parquet").write_bytes(b"half")
     state.merge(batch("2024-01-01T00:00:00", 1))
     assert [r.route_type for r in state.read().collect()] == [2]
     state.merge(batch("2024-01-03T00:00:00", 3))
@@ -185,32 +187,59 @@ def touched_routes(spark, *entities, stamp="2024-01-02T00:00:00", kind=3):
                                                "route_type": kind} for e in entities])
 
 
+def kinds(state):
+    return sorted((r.entity_id, r.route_type) for r in state.read().collect())
+
+
 def test_merges_from_the_same_state_keep_both(spark, tmp_path, monkeypatch):
-    first, second = (sinks.LatestState(spark, str(tmp_path / "state"), s.FACT_ALERTS_ROUTES, ["entity_id"], buckets=2) for _ in range(2))
+    first, second = (LatestState(spark, str(tmp_path / "state"), s.FACT_ALERTS_ROUTES, ["entity_id"]) for _ in range(2))
     first.merge(touched_routes(spark, "a"))
-    stale, now = first._newest(), second._newest
+    stale = first.parts()
     first.merge(touched_routes(spark, "b", "a", stamp="2024-01-03T00:00:00", kind=2))
-    seen = iter([stale])
-    monkeypatch.setattr(second, "_newest", lambda: next(seen, None) or now())
+    live = second._live
+    seen = iter([stale])  # the second one folds what it saw before the first one's merge and fold
+    monkeypatch.setattr(second, "_live", lambda: next(seen, None) or live())
+    second.fold()
     second.merge(touched_routes(spark, "c", "a"))
-    assert sorted((r.entity_id, r.route_type) for r in first.read().collect()) == [("a", 2), ("b", 2), ("c", 3)]
-    assert not list((tmp_path / "state" / "rows").glob("*-batch")) and not list((tmp_path / "state" / "manifests").glob("draft*"))
-
-
-def test_a_merge_rewrites_only_its_buckets_and_old_states_go(spark, tmp_path):
-    state = sinks.LatestState(spark, str(tmp_path / "state"), s.FACT_ALERTS_ROUTES, ["entity_id"], buckets=8)
-    state.merge(touched_routes(spark, *"abcdefgh"))
-    before = state._newest()[1]
-    state.merge(touched_routes(spark, "a", stamp="2024-01-03T00:00:00"))
-    after = state._newest()[1]
-    assert len(before) > 1 and sum(before[b] != after[b] for b in before) == 1
-    state.merge(touched_routes(spark))  # an empty batch makes no state
-    assert state._newest()[0] == 2
-    for day in range(4, 4 + sinks.KEEP):
-        state.merge(touched_routes(spark, *"abcdefgh", stamp=f"2024-01-{day:02}T00:00:00"))
-    assert len(list((tmp_path / "state" / "manifests").glob("[0-9]*"))) == sinks.KEEP
-    assert not any((tmp_path / folder.split(str(tmp_path) + "/")[1]).exists() for folder in before.values())
-    assert state.read().count() == 8
+    assert kinds(first) == kinds(second) == [("a", 2), ("b", 2), ("c", 3)]
+
+
+def test_a_merge_writes_its_batch_only(spark, tmp_path):
+    state = LatestState(spark, str(tmp_path / "state"), s.FACT_ALERTS_ROUTES, ["entity_id"], share=100, most=4)
+    for day in range(1, 5):
+        state.merge(touched_routes(spark, *"abc"[:day], stamp=f"2024-01-{day:02}T00:00:00", kind=day))
+        assert len(state.parts()) == day and not (tmp_path / "state" / "covers").exists()
+    before = set(state.parts())
+    state.merge(touched_routes(spark, "d"))  # one part too many
+    folded = state.parts()
+    assert len(folded) == 1 and before <= {p.name for p in (tmp_path / "state" / "parts").iterdir()}
+    assert kinds(state) == [("a", 4), ("b", 4), ("c", 4), ("d", 3)]
+    state.merge(touched_routes(spark, "a", stamp="2024-01-09T00:00:00", kind=9))
+    state.fold()  # the parts that the fold before had covered go now, those that it covers itself stay
+    there = {p.name for p in (tmp_path / "state" / "parts").iterdir()}
+    assert not before & there and set(folded) < there and len(state.parts()) == 1
+    assert kinds(state) == [("a", 9), ("b", 4), ("c", 4), ("d", 3)]
+    state.fold()
+    state.fold()
+    assert len(list((tmp_path / "state" / "covers").iterdir())) == 2 and len(kinds(state)) == 4
+
+
+def test_the_row_stored_first_stays_over_folds(spark, tmp_path):
+    state = LatestState(spark, str(tmp_path / "state"), s.FACT_ALERTS_ROUTES, ["entity_id"], share=100)
+    for kind in (5, 4, 6):
+        state.merge(touched_routes(spark, "a", kind=kind))
+        if kind == 4:
+            state.fold()
+    assert kinds(state) == [("a", 5)]
+    state.merge(touched_routes(spark))  # an empty batch changes nothing
+    assert kinds(state) == [("a", 5)]
+
+
+def test_parts_are_folded_when_they_outgrow_the_largest(spark, tmp_path):
+    state = LatestState(spark, str(tmp_path / "state"), s.FACT_ALERTS_ROUTES, ["entity_id"])
+    for day in range(1, 4):
+        state.merge(touched_routes(spark, "a", stamp=f"2024-01-{day:02}T00:00:00", kind=day))
+    assert len(state.parts()) == 1 and kinds(state) == [("a", 3)]
 
 
 def test_recent_lines(spark, tmp_path):

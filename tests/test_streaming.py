@@ -6,7 +6,7 @@ from test_sources_sinks import alert, snapshot, vehicle
 
 from tramline import schemas as s
 from tramline.plans import facts, raw
-from tramline.sinks.tables import LatestState
+from tramline.sinks.state import LatestState
 from tramline.sources.snapshots import decode_snapshots, read_snapshot_files
 from tramline.streaming import jobs
 

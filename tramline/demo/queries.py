@@ -18,6 +18,7 @@ from tramline.plans import daily, dashboards, facts, live, marts, raw
 from tramline.schemas import FACT_ALERTS, TABLES, columns_of, conform
 from tramline.session import scratch_dir
 from tramline.sinks import tables as sinks
+from tramline.sinks.state import LatestState
 from tramline.sources import schedule
 from tramline.sources.recent import read_recent
 from tramline.sources.snapshots import decode_snapshots, read_snapshot_files
@@ -656,7 +657,7 @@ def upsert_state(spark, sf):
     """Three loads in wrong order into a stored latest-wins table, the last one twice."""
     layout, _, keys, _ = TABLES["fact_alerts_routes"]
     ties = [c(x).asc_nulls_first() for x in ("route_type", "direction_id", "agency_id")]
-    state = sinks.LatestState(spark, scratch_dir(spark, "state"), layout, keys, ties)
+    state = LatestState(spark, scratch_dir(spark, "state"), layout, keys, ties)
     rows = roles.raw_alerts(spark, sf)
     year = F.year("service_date")
     for part in (year >= 1999, year.between(1997, 1998), year < 1997, year < 1997):
@@ -762,7 +763,7 @@ def stream_alert_merge(spark, sf):
     layout, _, keys, _ = TABLES["fact_alerts"]
     versions = roles.order_versions(spark, sf)
     ties = [c(x).asc_nulls_first() for x in columns_of(FACT_ALERTS) if x not in ("entity_id", "snapshot_timestamp")]
-    state = sinks.LatestState(spark, f"{folder}/state", layout, keys, ties)
+    state = LatestState(spark, f"{folder}/state", layout, keys, ties)
     stream = jobs.table_stream(spark, sf, "lineitem.parquet")
 
     def prepare(batch: DataFrame) -> DataFrame:

@@ -16,7 +16,8 @@ from tramline.operators.checks import constraint_report
 from tramline.plans import facts, marts
 from tramline.plans.raw import RAW_BUILDERS
 from tramline.schemas import TABLES, conform
-from tramline.sinks.tables import LatestState, clear_days, replace_days, replace_partitions, write_dimensions
+from tramline.sinks.state import LatestState
+from tramline.sinks.tables import clear_days, replace_days, replace_partitions, write_dimensions
 from tramline.sources.schedule import build_dimensions, find_version
 from tramline.sources.snapshots import decode_snapshots, read_snapshot_files
 

@@ -2,22 +2,14 @@
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Sequence
 from datetime import date
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.operators.merge import merge_latest
 from tramline.schemas import RECENT_SNAPSHOT, conform
 
-BUCKETS = 64  # of a latest-wins table; fixed when its first batch is merged
-KEEP = 5  # states of it that stay readable
-
-
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Replace exactly the partitions that ``df`` has rows for; others stay.
 
@@ -40,14 +32,13 @@ def replace_days(df: DataFrame, path: str, column: str, days: Sequence[date]) ->
     """
     wanted = df.where(F.col(column).isin(list(days)))
     written = Observation()
-    counted = wanted.observe(
-        written, *[F.count_if(F.col(column) == F.lit(d)).alias(d.isoformat()) for d in days]
-    )
-    replace_partitions(counted, path, [column])
-    for day in days:
-        if not written.get[day.isoformat()]:
-            df.limit(0).drop(column).write.mode("overwrite").parquet(
-                f"{path.rstrip('/')}/{column}={day.isoformat()}")
+    replace_partitions(wanted.observe(written, F.collect_set(F.col(column).cast("string")).alias("days")), path, [column])
+    empty = [d for d in days if d.isoformat() not in written.get["days"]]
+    clear_days(df.sparkSession, path, column, empty)
+    hadoop = df.sparkSession._jvm.org.apache.hadoop.fs
+    for day in empty:
+        folder = hadoop.Path(f"{path.rstrip('/')}/{column}={day.isoformat()}")
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
 def clear_days(spark: SparkSession, path: str, column: str, days: Sequence[date]) -> None:
@@ -64,112 +55,6 @@ def write_dimensions(tables: dict[str, DataFrame], base: str) -> None:
         replace_partitions(df, f"{base.rstrip('/')}/dim_{name}", ["feed_start_date"])
 
 
-class LatestState:
-    """A latest-wins table in hash buckets of its keys, under numbered manifests.
-
-    Parquet files cannot be updated and a path cannot be overwritten while it is read, so a
-    merge writes new folders for the buckets that its batch touches, then claims the next
-    number with a manifest that names the folder of every bucket; buckets without new rows keep
-    theirs. The claim is a rename that fails if the number is taken (atomic where the file
-    system's rename is): of two merges from the same state the second merges again from the
-    newer one, so no batch is lost. A failed merge leaves no manifest and is simply rerun.
-    The last ``KEEP`` states stay readable.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, layout: str, keys: Sequence[str],
-                 ties: Sequence[Column] = (), buckets: int = BUCKETS):
-        self.spark, self.path, self.layout = spark, path.rstrip("/"), layout
-        self.keys, self.ties, self.buckets = list(keys), list(ties), buckets
-        self._hadoop = spark._jvm.org.apache.hadoop.fs
-
-    def read(self) -> DataFrame:
-        return self._rows(self._newest()[1].values())
-
-    def merge(self, batch: DataFrame) -> DataFrame:
-        run = f"{self.path}/rows/{uuid.uuid4().hex}"
-        arrived = f"{run}-batch"
-        self._write(conform(batch, self.layout), arrived)
-        touched = [p.getName() for p in self._paths(f"{arrived}/bucket=*")]
-        number, folders = self._newest()
-        attempt = 0
-        while touched:
-            target = f"{run}-{attempt}"
-            old = self._rows(folders[b] for b in touched if b in folders)
-            new = self._rows(f"{arrived}/{b}" for b in touched)
-            self._write(merge_latest(old, new, self.keys, self.ties), target)
-            if self._claim(number + 1, folders | {b: f"{target}/{b}" for b in touched}):
-                self._retire(number + 1 - KEEP)
-                break
-            self._delete(target)
-            attempt += 1
-            number, folders = self._newest()
-        self._delete(arrived)
-        return self.read()
-
-    def _rows(self, folders) -> DataFrame:
-        paths = sorted(folders)
-        if not paths:
-            return self.spark.createDataFrame([], self.layout)
-        return self.spark.read.schema(self.layout).parquet(*paths)
-
-    def _write(self, rows: DataFrame, path: str) -> None:
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets))
-        (rows.withColumn("bucket", bucket).hint("rebalance", F.col("bucket"))
-         .write.mode("errorifexists").partitionBy("bucket").parquet(path))
-
-    def _files(self, path: str):
-        found = self._hadoop.Path(path)
-        return found, found.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _paths(self, pattern: str) -> list:
-        found, files = self._files(pattern)
-        return sorted((s.getPath() for s in files.globStatus(found) or []), key=lambda p: p.getName())
-
-    def _delete(self, path: str) -> None:
-        found, files = self._files(path)
-        files.delete(found, True)
-
-    def _manifest(self, path) -> dict[str, str]:
-        opened = self._files(path.toString())[1].open(path)
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8"))
-        finally:
-            opened.close()
-
-    def _newest(self) -> tuple[int, dict[str, str]]:
-        """Number of the newest manifest (0: none) and the folder of each bucket."""
-        found = self._paths(f"{self.path}/manifests/[0-9]*")
-        return (int(found[-1].getName()), self._manifest(found[-1])) if found else (0, {})
-
-    def _claim(self, number: int, folders: dict[str, str]) -> bool:
-        """Whether the manifest took its number; it appears whole or not at all."""
-        draft, files = self._files(f"{self.path}/manifests/draft-{uuid.uuid4().hex}")
-        out = files.create(draft, False)
-        out.write(bytearray(json.dumps(folders).encode()))
-        out.close()
-        context = self._hadoop.FileContext.getFileContext(draft.toUri() if draft.toUri().getScheme() else files.getUri(),
-                                                          self.spark._jsc.hadoopConfiguration())
-        plain = self.spark.sparkContext._gateway.new_array(getattr(self._hadoop, "Options$Rename"), 0)
-        try:
-            context.rename(draft, self._hadoop.Path(f"{self.path}/manifests/{number:010d}"), plain)
-        except Py4JJavaError as refused:
-            if "FileAlreadyExistsException" not in refused.java_exception.getClass().getName():
-                raise
-            files.delete(draft, False)
-            return False
-        return True
-
-    def _retire(self, last: int) -> None:
-        """Removes the states up to number ``last`` and the folders that no later state names."""
-        found = self._paths(f"{self.path}/manifests/[0-9]*")
-        old = [p for p in found if int(p.getName()) <= last]
-        used = {f for p in found if int(p.getName()) > last for f in self._manifest(p).values()}
-        for manifest in old:
-            for folder in set(self._manifest(manifest).values()) - used:
-                self._delete(folder)
-            self._delete(manifest.toString())
-
-
 def write_recent(rows: DataFrame, path: str) -> None:
     """Recent-snapshot rows as gzip JSON lines by UTC day and hour; a rerun replaces its hours."""
     at = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(

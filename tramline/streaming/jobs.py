@@ -16,7 +16,7 @@ from tramline.functions.text import not_deleted
 from tramline.functions.times import age_seconds
 from tramline.operators.latest import first_per_key
 from tramline.plans.facts import OVERNIGHT_LAST_HOUR
-from tramline.sinks.tables import LatestState
+from tramline.sinks.state import LatestState
 
 
 # Fixed value: the layout of Spark's binary file source.
