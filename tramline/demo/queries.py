@@ -7,6 +7,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tramline.demo import roles, trees
 from tramline.demo.feeds import encode_vehicle_snapshots, encode_trip_updates, encode_alerts
@@ -22,7 +23,7 @@ from tramline.sinks.state import LatestState
 from tramline.sources import schedule
 from tramline.sources.recent import read_recent
 from tramline.sources.snapshots import decode_snapshots, read_snapshot_files
-from tramline.streaming import jobs
+from tramline.streaming import jobs, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -711,22 +712,125 @@ def _finish(stream_query) -> None:
     stream_query.awaitTermination()
 
 
+def _arrivals(rows: DataFrame, batch: Column, n: int) -> list[DataFrame]:
+    """``rows`` in the ``n`` parts that ``batch`` (0 to n - 1) deals them to."""
+    path = scratch_dir(rows.sparkSession, "arrivals")
+    rows.withColumn("arrival", batch).write.partitionBy("arrival").parquet(path)
+    stored = rows.sparkSession.read.schema(T.StructType([*rows.schema.fields, T.StructField("arrival", T.IntegerType())])).parquet(path)
+    return [stored.where(c("arrival") == i).drop("arrival") for i in range(n)]
+
+
+def _by_days(rows: DataFrame, day: str, days: int, n: int) -> Column:
+    """Number of the stretch of ``days`` days, from the first day of the table, that a row lies in; the last takes the rest."""
+    first = rows.agg(F.min(F.to_date(day))).scalar()
+    return F.greatest(F.lit(0), F.least(F.floor(F.datediff(F.to_date(day), first) / days), F.lit(n - 1))).cast("int")
+
+
 @query
 def stream_hourly_counts(spark, sf):
     folder = scratch_dir(spark, "hourly")
-    events = jobs.with_event_time(_stream_columns(_event_stream(spark, sf)), "ts", "1 day")
-    _finish(jobs.updates_to_table(jobs.hourly_occupancy(events), folder))
-    rows = jobs.read_updates(spark, folder, ["hour_start", "route_id"])
-    return rounded(rows.withColumn("hour_start", c("hour_start").cast("timestamp_ntz")), "avg_occupancy_pct")
+    state = LatestState(spark, f"{folder}/state", "hour_start timestamp, route_id string, snapshot_count bigint, report_count bigint, "
+                        "avg_occupancy_pct double, batch bigint", ["hour_start", "route_id"], newest="batch")
+    rows = _stream_columns(roles.table(spark, sf, "events"))
+
+    def start():
+        events = jobs.with_event_time(jobs.table_stream(spark, f"{folder}/in"), "ts", "1 day")
+        return jobs.updates_to_state(jobs.hourly_occupancy(events), state, folder)
+
+    jobs.run_arrivals([{f"{folder}/in": part} for part in _arrivals(rows, _by_days(rows, "ts", 10, 3), 3)], start)
+    found = state.read().drop("batch").withColumn("hour_start", c("hour_start").cast("timestamp_ntz"))
+    return rounded(found, "avg_occupancy_pct")
 
 
 @query
 def stream_latest_state(spark, sf):
+    """Vehicles over four arrivals; the state of one that is silent for ten days is freed, its row stays in the table."""
     folder = scratch_dir(spark, "latest")
-    newest = jobs.latest_state(_stream_columns(_event_stream(spark, sf)), "vehicle_id", ["ts", "event_id"],
-                               ["ts", "event_id", "route_id", "occupancy_percentage"])
-    _finish(jobs.updates_to_table(newest, folder))
-    return jobs.read_updates(spark, folder, ["vehicle_id"])
+    layout = "vehicle_id string, ts timestamp_ntz, event_id bigint, route_id string, occupancy_percentage int"
+    state = LatestState(spark, f"{folder}/state", layout, ["vehicle_id"], [c("event_id").desc()], newest="ts")
+    rows = _stream_columns(roles.table(spark, sf, "events")).select("vehicle_id", "ts", "event_id", "route_id", "occupancy_percentage")
+
+    def start():
+        events = jobs.with_event_time(jobs.table_stream(spark, f"{folder}/in"), "ts", "1 hour")
+        return jobs.updates_to_state(stateful.latest_rows(events, "vehicle_id", "ts", "event_id", 10), state, folder, keyed=True)
+
+    jobs.run_arrivals([{f"{folder}/in": part} for part in _arrivals(rows, _by_days(rows, "ts", 8, 4), 4)], start)
+    return state.read()
+
+
+@query
+def stream_final_trips(spark, sf):
+    """Final state of every trip whose two days are over, out of six arrivals; rows that come more than a year late are dropped."""
+    folder = scratch_dir(spark, "finals")
+    rows = facts.valid_trip_updates(roles.raw_trip_updates(spark, sf)).drop("modified_trip", "stop_time_update", "trip_properties")
+    stretch = _by_days(rows, "service_date", 122, 6)
+    late = (stretch <= 2) & (c("trip_id").cast("bigint") % 50 == 7) & (c("delay") % 2 == 0)
+
+    def start():
+        updates = jobs.with_event_time(jobs.table_stream(spark, f"{folder}/in"), "snapshot_timestamp", "1 hour")
+        return jobs.append_to_table(stateful.final_trips(updates), folder, keyed=True)
+
+    jobs.run_arrivals([{f"{folder}/in": part} for part in _arrivals(rows, F.when(late, 5).otherwise(stretch), 6)], start)
+    return spark.read.parquet(f"{folder}/rows").select(
+        "trip_start_date", "trip_id", "snapshot_timestamp", "ingested_at", "entity_id", "trip_schedule_rel")
+
+
+@query
+def stream_dropped_rows(spark, sf):
+    """Vehicles seen per day over four arrivals; rows of the first days that come with the last arrival are dropped and counted."""
+    folder = scratch_dir(spark, "dropped")
+    rows = _stream_columns(roles.table(spark, sf, "events"))
+    stretch = _by_days(rows, "ts", 8, 4)
+    late = (stretch == 0) & (c("event_id") % 40 == 3)
+
+    def start():
+        events = jobs.with_event_time(jobs.table_stream(spark, f"{folder}/in"), "ts", "2 days")
+        return jobs.append_to_table(jobs.drop_repeats(events, ["service_date", "vehicle_id"]).select("service_date", "vehicle_id"), folder)
+
+    progress = jobs.run_arrivals([{f"{folder}/in": part} for part in _arrivals(rows, F.when(late, 3).otherwise(stretch), 4)], start)
+    return spark.read.parquet(f"{folder}/rows").agg(
+        F.count("*").alias("rows_kept"), F.lit(jobs.rows_dropped(progress)).cast("bigint").alias("rows_dropped"))
+
+
+@query
+def stream_vehicle_updates(spark, sf):
+    """Vehicle rows with every update of the vehicle within six hours, or alone; both sides arrive in four parts."""
+    folder = scratch_dir(spark, "interval")
+    rows = roles.table(spark, sf, "events").select("event_id", c("user_id").cast("string").alias("vehicle_id"), "ts", "event_type")
+    parts = _arrivals(rows, _by_days(rows, "ts", 8, 4), 4)
+    vehicles = [p.where("event_type <> 'click'").drop("event_type") for p in parts]
+    updates = [p.where("event_type = 'click'").select("vehicle_id", c("ts").alias("update_ts"), c("event_id").alias("update_id")) for p in parts]
+
+    def start():
+        left = jobs.table_stream(spark, f"{folder}/vehicles").withColumn("at", c("ts").cast("timestamp")).withWatermark("at", "1 hour")
+        right = jobs.table_stream(spark, f"{folder}/updates").withColumn("update_at", c("update_ts").cast("timestamp")).withWatermark(
+            "update_at", "2 hours")
+        return jobs.append_to_table(stateful.join_intervals(left, right, ["vehicle_id"], "at", "update_at", "6 hours", "6 hours"), folder)
+
+    jobs.run_arrivals([{f"{folder}/vehicles": v, f"{folder}/updates": u} for v, u in zip(vehicles, updates)], start)
+    settled = rows.agg(F.date_trunc("day", F.max("ts")) - F.expr("INTERVAL 3 DAYS")).scalar()
+    return spark.read.parquet(f"{folder}/rows").where(c("ts") < settled).select("event_id", "vehicle_id", "ts", "update_id", "update_ts")
+
+
+@query
+def stream_enrich_as_of(spark, sf):
+    """Positions with the route name of their week's schedule; versions are loaded while the stream runs."""
+    folder = scratch_dir(spark, "as-of")
+    rows = _stream_columns(roles.table(spark, sf, "events")).select("event_id", "route_id", "trip_start_date", "service_date")
+    stretch = _by_days(rows, "service_date", 8, 4)
+    names = roles.event_routes(spark, sf).select(
+        "feed_start_date", "route_id", F.coalesce("route_short_name", "route_id").alias("route_name"))
+    first = rows.agg(F.min("service_date")).scalar()
+    loaded = F.greatest(F.lit(0), F.least(F.floor(F.datediff("feed_start_date", first) / 8), F.lit(3))).cast("int")
+    dims = f"{folder}/dims"
+    parts = zip(_arrivals(names, loaded, 4), _arrivals(rows, stretch, 4))
+
+    def start():
+        return jobs.enrich_as_of(jobs.table_stream(spark, f"{folder}/in"), lambda: spark.read.parquet(dims).select("feed_start_date").distinct(),
+                                 lambda: spark.read.parquet(dims), folder)
+
+    jobs.run_arrivals([{dims: d, f"{folder}/in": p} for d, p in parts], start)
+    return spark.read.parquet(f"{folder}/rows/batch=*").select("event_id", "trip_start_date", "static_version_date", "route_id", "route_name")
 
 
 @query
@@ -778,6 +882,7 @@ def stream_feed_lag(spark, sf):
     """Newest stamp and lag after the last batch of the vehicle stream."""
     folder = scratch_dir(spark, "lag")
     stamps = _event_stream(spark, sf).select(times.wall_epoch("ts").alias("feed_timestamp"))
-    newest = stamps.groupBy().agg(F.max("feed_timestamp").alias("feed_timestamp"))
-    _finish(jobs.updates_to_table(newest, folder))
-    return jobs.feed_lag(spark.read.parquet(f"{folder}/rows/batch=*"), 1_706_700_000)
+    newest = stamps.groupBy().agg(F.max("feed_timestamp").alias("feed_timestamp")).withColumn("feed", F.lit("vehicle_positions"))
+    state = LatestState(spark, f"{folder}/state", "feed string, feed_timestamp bigint, batch bigint", ["feed"], newest="batch")
+    _finish(jobs.updates_to_state(newest, state, folder))
+    return jobs.feed_lag(state.read(), 1_706_700_000)

@@ -54,18 +54,19 @@ def fact_vehicle_positions(raw: DataFrame, versions: DataFrame, first: date, las
     return link_version(kept, versions, "trip_start_date").select(*columns_of(FACT_VEHICLE_POSITIONS))
 
 
+def valid_trip_updates(raw: DataFrame) -> DataFrame:
+    """Updates of a known trip on its day or the day after."""
+    in_window = F.col("service_date").between(F.col("trip_start_date"), F.date_add("trip_start_date", 1))
+    return raw.where(in_window & F.col("trip_id").isNotNull() & not_deleted())
+
+
 def fact_trip_updates(raw: DataFrame, versions: DataFrame, first: date, last: date) -> DataFrame:
     """Final state of each trip: its last update of the trip day or the day after.
 
     The bulky stop lists are left out before the shuffle.
     """
     columns = columns_of(FACT_TRIP_UPDATES)
-    in_window = F.col("service_date").between(F.col("trip_start_date"), F.date_add("trip_start_date", 1))
-    kept = (
-        _days(raw, first, last)
-        .where(in_window & F.col("trip_id").isNotNull() & not_deleted())
-        .select(*[c for c in columns if c != "static_version_date"])
-    )
+    kept = valid_trip_updates(_days(raw, first, last)).select(*[c for c in columns if c != "static_version_date"])
     final = first_per_key(kept, ["trip_start_date", "trip_id"], [
         F.col("snapshot_timestamp").desc_nulls_first(),
         F.col("ingested_at").desc_nulls_first(),

@@ -21,7 +21,7 @@ class LatestState:
     """The newest row per key over all batches ever merged, as Parquet folders that are only ever added.
 
     A merge appends its batch as one part, so it costs what the batch costs. Reading takes the first row per
-    key over all parts in one group-limited pass: newest ``snapshot_timestamp``, then the batch that was loaded
+    key over all parts in one group-limited pass: newest ``newest`` column, then the batch that was loaded
     first, then ``ties``. When the small parts outgrow a share of the largest one, or are many, the rows of
     all of them are written as one more part, and a list of the parts that it covers is written after it. A part and its
     fold hold the same newest rows, so it does not matter which of them a reader sees, or whether
@@ -31,9 +31,9 @@ class LatestState:
     """
 
     def __init__(self, spark: SparkSession, path: str, layout: str, keys: Sequence[str], ties: Sequence[Column] = (),
-                 share: float = SHARE, most: int = MOST):
+                 share: float = SHARE, most: int = MOST, newest: str = "snapshot_timestamp"):
         self.spark, self.path, self.layout = spark, path.rstrip("/"), layout
-        self.keys, self.ties, self.share, self.most = list(keys), list(ties), share, most
+        self.keys, self.ties, self.share, self.most, self.newest = list(keys), list(ties), share, most, newest
         self._hadoop = spark._jvm.org.apache.hadoop.fs
 
     def read(self) -> DataFrame:
@@ -74,7 +74,7 @@ class LatestState:
         rows = self.spark.read.schema(f"{self.layout}, {_LOADED} string").parquet(*[f"{self.path}/parts/{p}" for p in parts])
         if len(parts) == 1 and parts[0] in self._complete("covers"):
             return rows  # a fold has one row per key
-        return first_per_key(rows, self.keys, [F.col("snapshot_timestamp").desc_nulls_last(), F.col(_LOADED).asc(), *self.ties])
+        return first_per_key(rows, self.keys, [F.col(self.newest).desc_nulls_last(), F.col(_LOADED).asc(), *self.ties])
 
     def _live(self) -> list[str]:
         covered = set(self._covered())

@@ -7,16 +7,19 @@ route and bounded by a watermark or by the number of live entities.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tramline.functions.text import not_deleted
 from tramline.functions.times import age_seconds
-from tramline.operators.latest import first_per_key
+from tramline.operators.versions import link_version
 from tramline.plans.facts import OVERNIGHT_LAST_HOUR
 from tramline.sinks.state import LatestState
+from tramline.streaming.stateful import with_keyed_state
 
 
 # Fixed value: the layout of Spark's binary file source.
@@ -76,12 +79,6 @@ def hourly_occupancy(positions: DataFrame) -> DataFrame:
     )
 
 
-def latest_state(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """The newest row per key; the state holds one row per key."""
-    newest = F.max_by(F.struct(*columns), F.struct(*order)).alias("row")
-    return df.groupBy(key).agg(newest).select(key, "row.*")
-
-
 def drop_repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """First arrival per key within the watermark delay; a batch keeps one row per key."""
     return df.dropDuplicatesWithinWatermark(list(keys)) if df.isStreaming else df.dropDuplicates(list(keys))
@@ -113,19 +110,23 @@ def feed_lag(entities: DataFrame, as_of: Column | int) -> DataFrame:
 # ---------------------------------------------------------------- running
 
 
-def append_to_table(stream: DataFrame, folder: str, available_now: bool = True):
-    """Append-mode stream into Parquet, exactly once; returns the started query."""
-    return _triggered(stream.writeStream.outputMode("append").format("parquet")
-                      .option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/progress"),
-                      available_now).start()
+def append_to_table(stream: DataFrame, folder: str, available_now: bool = True, keyed: bool = False):
+    """Append-mode stream into Parquet, exactly once; returns the started query. ``keyed`` streams have timers."""
+    writer = _triggered(stream.writeStream.outputMode("append").format("parquet")
+                        .option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/progress"), available_now)
+    return with_keyed_state(writer) if keyed else writer.start()
+
 
+def updates_to_state(stream: DataFrame, state: LatestState, folder: str, available_now: bool = True, keyed: bool = False):
+    """Update-mode stream: the changed rows of every batch are merged into a latest-wins table.
 
-def updates_to_table(stream: DataFrame, folder: str, available_now: bool = True):
-    """Update-mode stream: the changed rows of batch n under batch=n, a rerun batch replacing its own."""
+    Where the table goes by ``batch``, rows get their batch's number, so the newest batch wins and a replay changes
+    nothing. ``keyed`` streams have timers.
+    """
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
+        state.merge(batch.withColumn("batch", F.lit(number).cast("long")) if state.newest == "batch" else batch)
 
-    return _foreach(stream, "update", write, folder, available_now)
+    return _foreach(stream, "update", write, folder, available_now, keyed)
 
 
 def merge_into_state(stream: DataFrame, prepare: Callable[[DataFrame], DataFrame], state: LatestState,
@@ -134,16 +135,47 @@ def merge_into_state(stream: DataFrame, prepare: Callable[[DataFrame], DataFrame
     return _foreach(stream, "append", lambda batch, _: state.merge(prepare(batch)), folder, available_now)
 
 
-def _foreach(stream: DataFrame, mode: str, write: Callable, folder: str, available_now: bool):
-    return _triggered(stream.writeStream.outputMode(mode).foreachBatch(write)
-                      .option("checkpointLocation", f"{folder}/progress"), available_now).start()
+def enrich_as_of(stream: DataFrame, versions: Callable[[], DataFrame], routes: Callable[[], DataFrame], folder: str,
+                 available_now: bool = True):
+    """Positions with the route name of the schedule version that was in force on their day.
 
+    ``versions`` and ``routes`` are read anew for every batch, so a version loaded while the stream runs counts from the next
+    batch on; a rerun batch replaces its own rows.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        linked = link_version(batch, versions(), "trip_start_date")
+        names = routes().select(F.col("feed_start_date").alias("static_version_date"), "route_id", "route_name")
+        rows = linked.join(names, ["static_version_date", "route_id"], "left").withColumn("route_name", F.coalesce("route_name", F.lit("")))
+        rows.write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
+
+    return _foreach(stream, "append", write, folder, available_now)
 
-def _triggered(writer, available_now: bool):
-    return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
 
+def run_arrivals(parts: Sequence[dict[str, DataFrame]], start: Callable[[], StreamingQuery]) -> list[dict]:
+    """Appends each part's tables to their folders and lets the stream take what has arrived; the progress of all batches.
 
-def read_updates(spark: SparkSession, folder: str, keys: Sequence[str]) -> DataFrame:
-    """The current row per key of an update-mode table."""
-    rows = spark.read.option("basePath", f"{folder}/rows").parquet(f"{folder}/rows/batch=*")
-    return first_per_key(rows, list(keys), [F.col("batch").desc()]).drop("batch")
+    Every arrival is one batch, and one without data after it when the watermark has moved.
+    """
+    progress = []
+    for part in parts:
+        for folder, rows in part.items():
+            rows.write.mode("append").parquet(folder)
+        running = start()
+        running.awaitTermination()
+        progress += [json.loads(p.json) for p in running.recentProgress]
+    return progress
+
+
+def rows_dropped(progress: list[dict]) -> int:
+    """Rows that came behind the watermark, over all stateful operators and batches."""
+    return sum(op["numRowsDroppedByWatermark"] for p in progress for op in p["stateOperators"])
+
+
+def _foreach(stream: DataFrame, mode: str, write: Callable, folder: str, available_now: bool, keyed: bool = False):
+    writer = _triggered(stream.writeStream.outputMode(mode).foreachBatch(write)
+                        .option("checkpointLocation", f"{folder}/progress"), available_now)
+    return with_keyed_state(writer) if keyed else writer.start()
+
+
+def _triggered(writer, available_now: bool):
+    return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
