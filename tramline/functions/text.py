@@ -73,6 +73,12 @@ def bus_routes_of(entities: Column | str) -> Column:
     return F.transform(ordered, lambda k: k["id"])
 
 
+def touches_bus(entities: Column | str, route_id: str | None = None) -> Column:
+    """Whether an informed-entity array names a bus route, or the given one."""
+    wanted = (lambda r: is_bus_route(r) & (r == route_id)) if route_id else is_bus_route
+    return F.coalesce(F.exists(_col(entities), lambda e: F.coalesce(wanted(e["route_id"]), F.lit(False))), F.lit(False))
+
+
 def not_deleted(flag: Column | str = "is_deleted") -> Column:
     return ~F.coalesce(_col(flag), F.lit(False))
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tramline.functions.rates import mph
-from tramline.functions.text import bus_routes_of, is_bus_route, rider_text, route_sort_key
+from tramline.functions.text import bus_routes_of, is_bus_route, rider_text, route_sort_key, touches_bus
 from tramline.functions.times import age_seconds, iso_utc, iso_zulu
 from tramline.operators.latest import first_per_key, top_overall
 from tramline.operators.nested import ordered_lines
@@ -281,16 +281,15 @@ def live_alerts(entities: DataFrame, as_of: Column | int, route_id: str | None =
     """Alerts active now that touch a bus route, with rider texts and the routes in rider order."""
     as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
     a = "entity.alert."
-    active = entities.where(
-        F.col("entity.alert").isNotNull() & is_active(F.col(a + "active_period"), as_of)
+    return entities.where(
+        F.col("entity.alert").isNotNull() & is_active(F.col(a + "active_period"), as_of) & touches_bus(a + "informed_entity", route_id)
     ).select(
         F.col("entity.id").alias("alert_id"),
         rider_text(a + "header_text").alias("header"), rider_text(a + "description_text").alias("description"),
         F.coalesce(a + "cause", F.lit("UNKNOWN_CAUSE")).alias("cause"),
         F.coalesce(a + "effect", F.lit("UNKNOWN_EFFECT")).alias("effect"),
         bus_routes_of(a + "informed_entity").alias("routes_affected"),
-    ).where(F.size("routes_affected") > 0)
-    return active.where(F.array_contains("routes_affected", route_id)) if route_id else active
+    )
 
 
 def alerts_shown(alerts: DataFrame, order: Sequence[Column], n: int = ALERTS_SHOWN) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -68,7 +69,14 @@ def stop_arrivals(positions: DataFrame, first: date | None = None, last: date |
 
 def mart_on_time(positions: DataFrame, stop_times: DataFrame, routes: DataFrame,
                  first: date | None = None, last: date | None = None) -> DataFrame:
-    """Bus stop events with scheduled time, delay and on-time flag."""
+    """Bus stop events with scheduled time, delay and on-time flag.
+
+    Of the schedules only the versions between the oldest and the newest one of the range's positions are read.
+    """
+    named = positions.where(_between("trip_start_date", first, last)).agg(
+        F.min("static_version_date").alias("oldest"), F.max("static_version_date").alias("newest"))
+    in_force = F.col("feed_start_date").between(named.select("oldest").scalar(), named.select("newest").scalar())
+    routes, stop_times = routes.where(in_force), stop_times.where(in_force)
     buses = routes.where(F.col("route_type") == BUS).withColumnRenamed("route_short_name", "route_name")
     events = join_version(stop_arrivals(positions, first, last), buses, ["route_id"], ["route_name", "route_type"])
     schedule = stop_times.select(
@@ -159,10 +167,34 @@ def alert_days(periods: DataFrame, first: date, last: date) -> DataFrame:
     return _each_day(alert_segments(periods, first, last)).select("entity_id", "alert_date", "period_count")
 
 
-def _severity_counts() -> list[Column]:
-    return [F.count("*").alias("alert_count"), *[
-        F.count_if(F.col("severity_level") == level).alias(name) for name, level in SEVERITIES.items()
-    ]]
+def _severities() -> dict[str, Column]:
+    """What one alert adds to each count."""
+    return {"alert_count": F.lit(1), **{n: (F.col("severity_level").eqNullSafe(F.lit(level))).cast("int") for n, level in SEVERITIES.items()}}
+
+
+def _in_range(alert_routes: DataFrame, periods: DataFrame, first: date, last: date) -> DataFrame:
+    """Bus rows of alerts that have a period in the range; the others leave before anything is joined."""
+    active = periods.where((F.to_date("active_start") <= F.lit(last)) & (F.coalesce(F.to_date("active_end"), F.lit(last)) >= F.lit(first)))
+    return alert_routes.where(F.col("route_type") == BUS).join(active.select("entity_id"), "entity_id", "left_semi")
+
+
+def _day_totals(stretches: DataFrame, group: Sequence[str], adds: dict[str, Column], last: date) -> DataFrame:
+    """Sums of ``adds`` over the stretches that cover each day: (alert_date, group, sums) of days with an alert.
+
+    A stretch adds its values on its first day and takes them back after its last one. These steps are summed per
+    group and day, a running sum over the few days on which a group changes gives its totals, and only those are
+    spread over the days they hold for.
+    """
+    names = list(adds)
+    on, off = ([(sign * F.col(n)).alias(n) for n in names] for sign in (1, -1))
+    steps = stretches.withColumns(adds).select(*group, F.inline(F.array(
+        F.struct(F.col("from_day").alias("day"), *on), F.struct(F.date_add("to_day", 1).alias("day"), *off)))).where(
+        F.col("day") <= F.lit(last)).groupBy(*group, "day").agg(*[F.sum(n).alias(n) for n in names])
+    by_day = Window.partitionBy(*group).orderBy("day")
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    until = F.coalesce(F.date_sub(F.lead("day").over(by_day), 1), F.lit(last))
+    totals = steps.select(*group, "day", until.alias("until"), *[F.sum(n).over(so_far).alias(n) for n in names])
+    return totals.where(F.col("alert_count") > 0).select(F.explode(F.sequence("day", "until")).alias("alert_date"), *group, *names)
 
 
 def mart_alerts_by_day(periods: DataFrame, alert_routes: DataFrame, alerts: DataFrame, routes: DataFrame,
@@ -170,18 +202,16 @@ def mart_alerts_by_day(periods: DataFrame, alert_routes: DataFrame, alerts: Data
     """Distinct alerts active per day and bus route, in all and by severity.
 
     One side is reduced to distinct (alert, route) rows, the other to disjoint
-    stretches of days, so each day of a joined row is one distinct alert and
-    plain counts suffice. Stretches are joined whole and spread over days last,
-    straight into the partial counts: no (alert, day) row is ever shuffled.
+    stretches of days, so each joined row is one distinct alert on each of its days.
     """
-    touched = alert_routes.where(F.col("route_type") == BUS).select("entity_id", "route_id").distinct()
+    touched = _in_range(alert_routes, periods, first, last).select("entity_id", "route_id").distinct()
     named = routes.withColumnRenamed("route_short_name", "route_name")
     states = alerts.select("entity_id", "severity_level", "static_version_date")
     affected = join_version(touched.join(states, "entity_id"), named, ["route_id"], ["route_name"])
     affected = affected.select("entity_id", "severity_level", "route_id", "route_name")
     active = alert_segments(periods, first, last).drop("period_count")
     joined = join_hot(affected, active, ["entity_id"], counted=alert_routes.select("entity_id"))
-    return _each_day(joined).groupBy("alert_date", "route_id", "route_name").agg(*_severity_counts())
+    return _day_totals(joined, ["route_id", "route_name"], _severities(), last)
 
 
 def mart_alerts_by_day_stops(periods: DataFrame, alert_routes: DataFrame, alerts: DataFrame, stops: DataFrame,
@@ -190,17 +220,16 @@ def mart_alerts_by_day_stops(periods: DataFrame, alert_routes: DataFrame, alerts
 
     The mean runs over every (period, route, stop) combination of an alert, as
     in the joined rows it is defined on; the combinations are counted before
-    the join and used as weights instead of being produced.
+    the join and used as weights instead of being produced. Places are summed as decimals, so
+    that what a stretch takes back is exactly what it added.
     """
-    touched = (
-        alert_routes.where(F.col("route_type") == BUS)
-        .groupBy("entity_id", "stop_id").agg(F.count("*").alias("row_count"))
-    )
+    touched = _in_range(alert_routes, periods, first, last).groupBy("entity_id", "stop_id").agg(F.count("*").alias("row_count"))
     states = alerts.select("entity_id", "severity_level", "static_version_date")
-    placed = join_version(touched.join(states, "entity_id"), stops, ["stop_id"], ["stop_name", "stop_lat", "stop_lon"])
+    placed = join_version(touched.join(states, "entity_id"), stops, ["stop_id"], ["stop_name", "stop_lat", "stop_lon"]).withColumns(
+        {x: F.col(x).try_cast("decimal(18,13)") for x in ("stop_lat", "stop_lon")})
 
     def weighted(place: str) -> Column:
-        return F.sum(F.col(place) * F.col("row_count"))
+        return F.sum(F.coalesce(F.col(place) * F.col("row_count").cast("decimal(9,0)"), F.lit(0)))
 
     def weight(place: str) -> Column:
         return F.sum(F.when(F.col(place).isNotNull(), F.col("row_count")).otherwise(0))
@@ -209,15 +238,16 @@ def mart_alerts_by_day_stops(periods: DataFrame, alert_routes: DataFrame, alerts
         weighted("stop_lat").alias("lat_sum"), weight("stop_lat").alias("lat_n"),
         weighted("stop_lon").alias("lon_sum"), weight("stop_lon").alias("lon_n"),
     )
+    joined = join_hot(by_name, alert_segments(periods, first, last), ["entity_id"],
+                      counted=alert_routes.select("entity_id"))
+    sums = {n: (F.col(n) * F.col("period_count").cast("decimal(9,0)")).cast("decimal(35,13)") if n.endswith("sum") else F.col(n) * F.col("period_count")
+            for n in ("lat_sum", "lat_n", "lon_sum", "lon_n")}
+    totals = _day_totals(joined, ["stop_name"], sums | _severities(), last)
 
     def mean(place: str) -> Column:
-        return F.sum(F.col(f"{place}_sum") * F.col("period_count")) / F.nullif(
-            F.sum(F.col(f"{place}_n") * F.col("period_count")), F.lit(0))
+        return F.col(f"{place}_sum").cast("double") / F.nullif(F.col(f"{place}_n"), F.lit(0))
 
-    joined = join_hot(by_name, alert_segments(periods, first, last), ["entity_id"],
-                      counted=alert_routes.select("entity_id"))
-    return _each_day(joined).groupBy("alert_date", "stop_name").agg(
-        mean("lat").alias("stop_lat"), mean("lon").alias("stop_lon"), *_severity_counts())
+    return totals.select("alert_date", "stop_name", mean("lat").alias("stop_lat"), mean("lon").alias("stop_lon"), "alert_count", *SEVERITIES)
 
 
 # ---------------------------------------------------------------- service delivered
