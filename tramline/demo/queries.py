@@ -28,10 +28,6 @@ from tramline.streaming import jobs, stateful
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# The ranges cover every day the test tables have.
-EVENT_DAYS = (date(2023, 12, 20), date(2024, 2, 10))
-TRIP_DAYS = (date(1995, 12, 25), date(1998, 1, 10))
-ALERT_DAYS = (date(1994, 12, 25), date(2002, 6, 30))
 ONE_EVENT_DAY = date(2024, 1, 10)
 ONE_ALERT_DAY = date(1998, 6, 1)
 AS_OF = 896_659_200  # 1998-06-01 00:00:00 UTC
@@ -55,12 +51,12 @@ def rounded(df: DataFrame, *columns: str, digits: int = DIGITS) -> DataFrame:
 
 def _new_positions(spark: SparkSession, sf: str) -> DataFrame:
     return facts.fact_vehicle_positions(
-        roles.raw_vehicle_positions(spark, sf), roles.event_versions(spark, sf), *EVENT_DAYS)
+        roles.raw_vehicle_positions(spark, sf), roles.event_versions(spark, sf), *roles.event_days(spark, sf))
 
 
 def _new_updates(spark: SparkSession, sf: str) -> DataFrame:
     return facts.fact_trip_updates(
-        roles.raw_trip_updates(spark, sf), roles.order_versions(spark, sf), *TRIP_DAYS)
+        roles.raw_trip_updates(spark, sf), roles.order_versions(spark, sf), *roles.trip_days(spark, sf))
 
 
 def _positions(spark: SparkSession, sf: str) -> DataFrame:
@@ -82,24 +78,24 @@ def _alert_facts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Da
 
 def _on_time(spark: SparkSession, sf: str) -> DataFrame:
     return marts.mart_on_time(
-        _positions(spark, sf), roles.event_stop_times(spark, sf), roles.event_routes(spark, sf), *EVENT_DAYS)
+        _positions(spark, sf), roles.event_stop_times(spark, sf), roles.event_routes(spark, sf), *roles.event_days(spark, sf))
 
 
 def _occupancy(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.mart_occupancy_route_hour(_positions(spark, sf), roles.event_routes(spark, sf), *EVENT_DAYS)
+    return marts.mart_occupancy_route_hour(_positions(spark, sf), roles.event_routes(spark, sf), *roles.event_days(spark, sf))
 
 
 def _alerts_by_day(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.mart_alerts_by_day(*_alert_facts(spark, sf), roles.order_routes(spark, sf), *ALERT_DAYS)
+    return marts.mart_alerts_by_day(*_alert_facts(spark, sf), roles.order_routes(spark, sf), *roles.alert_days(spark, sf))
 
 
 def _alerts_by_stop(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.mart_alerts_by_day_stops(*_alert_facts(spark, sf), roles.order_stops(spark, sf), *ALERT_DAYS)
+    return marts.mart_alerts_by_day_stops(*_alert_facts(spark, sf), roles.order_stops(spark, sf), *roles.alert_days(spark, sf))
 
 
 def _services(spark: SparkSession, sf: str) -> DataFrame:
     return marts.active_services(
-        roles.calendar(spark, sf), roles.calendar_dates(spark, sf), roles.order_versions(spark, sf), *TRIP_DAYS)
+        roles.calendar(spark, sf), roles.calendar_dates(spark, sf), roles.order_versions(spark, sf), *roles.trip_days(spark, sf))
 
 
 def _scheduled(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,7 +108,7 @@ def _delivered(spark: SparkSession, sf: str) -> DataFrame:
     return marts.mart_service_delivered(
         _updates(spark, sf), roles.order_trips(spark, sf), roles.order_routes(spark, sf),
         roles.order_stop_times(spark, sf), roles.calendar(spark, sf), roles.calendar_dates(spark, sf),
-        roles.order_versions(spark, sf), *TRIP_DAYS)
+        roles.order_versions(spark, sf), *roles.trip_days(spark, sf))
 
 
 def _newest_stamp(entities: DataFrame) -> Column:
@@ -196,7 +192,7 @@ def mart_on_time(spark, sf):
 
 @query
 def on_time_by_day(spark, sf):
-    return rounded(dashboards.on_time_trend(_on_time(spark, sf), *EVENT_DAYS), "on_time_pct", "early_pct", "late_pct")
+    return rounded(dashboards.on_time_trend(_on_time(spark, sf), *roles.event_days(spark, sf)), "on_time_pct", "early_pct", "late_pct")
 
 
 @query
@@ -207,7 +203,7 @@ def on_time_by_hour(spark, sf):
 
 @query
 def worst_routes(spark, sf):
-    worst = dashboards.least_punctual_routes(_on_time(spark, sf), *EVENT_DAYS)
+    worst = dashboards.least_punctual_routes(_on_time(spark, sf), *roles.event_days(spark, sf))
     return rounded(worst, "on_time_pct", "early_pct", "late_pct")
 
 
@@ -224,7 +220,7 @@ _OCCUPANCY_MEANS = ["avg_occupancy_pct", *marts.OCCUPANCY_SHARES, "pct_no_data_o
 
 @query
 def occupancy_rollup_day(spark, sf):
-    return rounded(dashboards.occupancy_trend(_occupancy(spark, sf), *EVENT_DAYS), *_OCCUPANCY_MEANS)
+    return rounded(dashboards.occupancy_trend(_occupancy(spark, sf), *roles.event_days(spark, sf)), *_OCCUPANCY_MEANS)
 
 
 @query
@@ -236,7 +232,7 @@ def occupancy_rollup_hour(spark, sf):
 
 @query
 def crowded_routes(spark, sf):
-    return rounded(dashboards.crowded_routes(_occupancy(spark, sf), *EVENT_DAYS), "avg_occupancy_pct")
+    return rounded(dashboards.crowded_routes(_occupancy(spark, sf), *roles.event_days(spark, sf)), "avg_occupancy_pct")
 
 
 @query
@@ -259,12 +255,12 @@ def scheduled_trips(spark, sf):
 
 @query
 def trip_delivery(spark, sf):
-    return marts.trip_delivery(_scheduled(spark, sf), _updates(spark, sf), *TRIP_DAYS)
+    return marts.trip_delivery(_scheduled(spark, sf), _updates(spark, sf), *roles.trip_days(spark, sf))
 
 
 @query
 def added_trip_counts(spark, sf):
-    return marts.added_trip_counts(_updates(spark, sf), *TRIP_DAYS)
+    return marts.added_trip_counts(_updates(spark, sf), *roles.trip_days(spark, sf))
 
 
 @query
@@ -274,7 +270,7 @@ def mart_service_delivered(spark, sf):
 
 @query
 def service_delivered_daily(spark, sf):
-    return dashboards.service_trend(_delivered(spark, sf), *TRIP_DAYS)
+    return dashboards.service_trend(_delivered(spark, sf), *roles.trip_days(spark, sf))
 
 
 # ---------------------------------------------------------------- alerts
@@ -340,32 +336,32 @@ def mart_alerts_by_stop(spark, sf):
 @query
 def alerts_by_route(spark, sf):
     names = ["NATION_3", "NATION_18", "92"]
-    return dashboards.alerts_by_route(_alerts_by_day(spark, sf), *ALERT_DAYS, routes=names)
+    return dashboards.alerts_by_route(_alerts_by_day(spark, sf), *roles.alert_days(spark, sf), routes=names)
 
 
 @query
 def alert_daily_totals(spark, sf):
-    return dashboards.daily_alert_totals(_alerts_by_day(spark, sf), *ALERT_DAYS)
+    return dashboards.daily_alert_totals(_alerts_by_day(spark, sf), *roles.alert_days(spark, sf))
 
 
 @query
 def alert_max_daily_total(spark, sf):
-    return dashboards.highest_daily_total(_alerts_by_day(spark, sf), *ALERT_DAYS)
+    return dashboards.highest_daily_total(_alerts_by_day(spark, sf), *roles.alert_days(spark, sf))
 
 
 @query
 def top_alert_routes(spark, sf):
-    return dashboards.top_alert_routes(_alerts_by_day(spark, sf), *ALERT_DAYS, severities=["SEVERE", "WARNING"])
+    return dashboards.top_alert_routes(_alerts_by_day(spark, sf), *roles.alert_days(spark, sf), severities=["SEVERE", "WARNING"])
 
 
 @query
 def alert_hotspots(spark, sf):
-    return rounded(dashboards.alert_hotspots(_alerts_by_stop(spark, sf), *ALERT_DAYS), "stop_lat", "stop_lon")
+    return rounded(dashboards.alert_hotspots(_alerts_by_stop(spark, sf), *roles.alert_days(spark, sf)), "stop_lat", "stop_lon")
 
 
 @query
 def top_alert_stops(spark, sf):
-    return rounded(dashboards.top_alert_stops(_alerts_by_stop(spark, sf), *ALERT_DAYS), "stop_lat", "stop_lon")
+    return rounded(dashboards.top_alert_stops(_alerts_by_stop(spark, sf), *roles.alert_days(spark, sf)), "stop_lat", "stop_lon")
 
 
 # ---------------------------------------------------------------- live view

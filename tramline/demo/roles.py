@@ -8,6 +8,7 @@ columns of one table into a transit table: narrow projections, no sampling.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +56,35 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return spark.read.parquet(_STORED[key])
 
 
+_DAYS: dict[tuple[str, str, str], tuple[date, date]] = {}
+
+
+def _day_range(spark: SparkSession, sf_dir: str, name: str, of: str, days: Column, before: int, after: int) -> tuple[date, date]:
+    """First and last day of a table, widened; read once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, f"{of} of {name}")
+    if key not in _DAYS:
+        row = table(spark, sf_dir, name).agg(F.date_sub(F.min(days), before).alias("first"), F.date_add(F.max(days), after).alias("last")).first()
+        _DAYS[key] = (row["first"], row["last"]) if row["first"] else (date(1970, 1, 1), date(1970, 1, 1))
+    return _DAYS[key]
+
+
+def event_days(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """Days of vehicle positions; trips begin up to three days before."""
+    return _day_range(spark, sf_dir, "events", "positions", F.to_date("ts"), 3, 0)
+
+
+def trip_days(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """Days of trips; a service runs up to three days before and after its own day."""
+    first, last = _day_range(spark, sf_dir, "orders", "trips", start_day(c("o_orderkey")), 3, 3)
+    other = _day_range(spark, sf_dir, "lineitem", "trips", start_day(c("l_orderkey")), 3, 3)
+    return min(first, other[0]), max(last, other[1])
+
+
+def alert_days(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """Days of alerts; the last ones are followed for sixty days."""
+    return _day_range(spark, sf_dir, "lineitem", "alerts", F.to_date("l_shipdate"), 0, 60)
+
+
 def text(column: Column) -> Column:
     return column.cast("string")
 
