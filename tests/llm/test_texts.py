@@ -265,3 +265,16 @@ def test_words_are_ascii_lowered():
     assert np.array_equal(jaccard.shingles("A B C D E"), jaccard.shingles("a b\tc\nd  e"))
     assert not np.array_equal(jaccard.shingles("É b c d e"), jaccard.shingles("é b c d e"))
     assert re.fullmatch(r"[0-9a-f]{32}", HEX)
+
+
+def test_entropy_spans_inside_fixed_ones_are_left_out_in_one_walk():
+    rng = random.Random(12)
+    chars = "abcdef0123456789ABCXYZ+/_"
+    for _ in range(300):
+        parts = [rng.choice(["password=", "token: ", "AKIA", " ", "\n", ""]) + "".join(rng.choice(chars) for _ in range(rng.randint(5, 60))) for _ in range(8)]
+        text = rng.choice(["", " "]).join(parts)
+        base = secrets.base_spans(text)
+        more = [e for e in secrets.entropy_spans(text) if not any(b[1] <= e[1] and e[2] <= b[2] for b in base)]
+        assert sorted(secrets.find_secrets(text)) == sorted(base + more)
+    pairs = " ".join(f"{k:032x} password=Zx9Qv7Lm2Kp4Rt8Wb6Yd3Hs5" for k in range(20_000))
+    assert len(secrets.find_secrets(pairs)) >= 40_000  # 1.3 MB of spans, in time that grows with them

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tramline.llm.common import released
+
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -112,8 +114,14 @@ def entropy_spans(text: str) -> list[tuple[str, int, int]]:
 
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """Kind, start, end (code points, end exclusive) by start, then kind; an entropy span inside a fixed one adds nothing."""
-    base = base_spans(text)
-    more = [e for e in entropy_spans(text) if not any(b[1] <= e[1] and e[2] <= b[2] for b in base)]
+    base, more = base_spans(text), []
+    starts, at, reach = sorted((b[1], b[2]) for b in base), 0, 0
+    for e in sorted(entropy_spans(text), key=lambda s: s[1]):
+        while at < len(starts) and starts[at][0] <= e[1]:
+            reach = max(reach, starts[at][1])  # the farthest end of a fixed span that begins at or before this one
+            at += 1
+        if reach < e[2]:
+            more.append(e)
     return sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -166,7 +174,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
                                            b.schema.field(length).type)
             yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released("secrets", run), docs.schema)
 
 
 def _masked(text: str, mark: str) -> str:
