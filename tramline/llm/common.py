@@ -2,12 +2,55 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import inspect
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.session import scratch_dir
 
 
+_HELD: dict = {}
+
+
+def release() -> None:
+    """Hands memory that a worker has freed back to the system; workers live on and take the next operator's tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def held(of: str, key: object, make: Callable[[], object]):
+    """What an operator keeps in a worker between tasks; it takes the place of what another one kept."""
+    if _HELD.get("of") != (of, key):
+        _HELD.clear()
+        release()
+        _HELD.update(of=(of, key), state=make())
+    return _HELD["state"]
+
+
+def released(of: str, run: Callable) -> Callable:
+    """``run`` over the batches of a task, or on one group, with no other operator's state in the worker and its own memory handed back."""
+    if inspect.isgeneratorfunction(run):
+        def task(batches):
+            held(of, None, lambda: None)
+            yield from run(batches)
+            release()
+    else:
+        def task(part):
+            held(of, None, lambda: None)
+            found = run(part)
+            release()
+            return found
+    return task
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

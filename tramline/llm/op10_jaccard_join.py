@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tramline.llm.common import connected_components, partitions, stored
+from tramline.llm.common import connected_components, partitions, released, stored
 
 SHINGLE = 5
 PERCENT = 80  # linked: 100 * intersection >= PERCENT * union
@@ -100,7 +100,7 @@ def _summaries(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(key, pa.int64()), pa.array(n, pa.int64()),
                                            pa.array(sig, pa.binary())], names=["kind", "key", "n", "sig"])
 
-    return docs.mapInArrow(run, "kind int, key long, n long, sig binary")
+    return docs.mapInArrow(released("jaccard join", run), "kind int, key long, n long, sig binary")
 
 
 # --- pass 2: document frequencies ------------------------------------------------------------------------
@@ -149,7 +149,7 @@ def _to_buckets(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
         if sets:
             yield from flush(table, sets)
 
-    return docs.mapInArrow(run, "bucket int, docs binary, hashes binary")
+    return docs.mapInArrow(released("jaccard join", run), "bucket int, docs binary, hashes binary")
 
 
 def _from_bucket(hot: np.ndarray, hot_rank: np.ndarray, buckets: int):
@@ -345,8 +345,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     buckets = max(partitions(spark), -(-total // BUCKET))
     back = _to_buckets(texts, hot, buckets).groupBy("bucket").applyInPandas(
-        _from_bucket(hot, hot_rank, buckets), "bucket int, docs binary, entries binary")
-    cores = stored(back.groupBy("bucket").applyInPandas(_boundary, "doc long, n int, regions array<bigint>, shared binary"), "boundaries")
+        released("jaccard join", _from_bucket(hot, hot_rank, buckets)), "bucket int, docs binary, entries binary")
+    cores = stored(back.groupBy("bucket").applyInPandas(released("jaccard join", _boundary), "doc long, n int, regions array<bigint>, shared binary"), "boundaries")
 
     member = cores.select(F.explode("regions").alias("region"), "doc")
     regions = (member.groupBy("region").agg(F.count(F.lit(1)).alias("m"), F.min("doc").alias("least"),

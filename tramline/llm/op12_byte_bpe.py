@@ -13,7 +13,6 @@ import array
 import base64
 import sys
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from heapq import heappop, heappush
 
 import public_tokenizers
@@ -22,6 +21,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tramline.llm.common import held
 from tramline.llm.tokens import tokenizer_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -188,9 +188,8 @@ class ByteBpe:
         return b"".join(map(self.tokens.__getitem__, values))
 
 
-@lru_cache(maxsize=1)
 def byte_bpe(path: str) -> ByteBpe:
-    return ByteBpe(load_ranks(path))
+    return held("byte BPE", path, lambda: ByteBpe(load_ranks(path)))
 
 
 def _by_row(column: pa.Array, convert: Callable[[object], bytes], keep: pa.Array) -> Iterator[tuple[pa.Array, list[bytes]]]:

@@ -12,7 +12,6 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 from tokenizers import Regex
 from tokenizers.pre_tokenizers import Split
 
-from tramline.llm.common import partitions, stored
+from tramline.llm.common import held, partitions, stored
 
 BUCKETS = 10_000
 MIN_WORDS = 20
@@ -87,9 +86,8 @@ class WordRuns:
         return n, (np.concatenate(found) if found else np.empty(0, np.uint32)).astype("<u2")
 
 
-@lru_cache(maxsize=1)
 def _runs(buckets: int) -> WordRuns:
-    return WordRuns(buckets)
+    return held("word runs", buckets, lambda: WordRuns(buckets))
 
 
 def run_buckets(docs: DataFrame, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tramline.llm.common import held
 from tramline.llm.tokens import BYTES, LETTERS, MEMO, tokenizer_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -88,9 +88,8 @@ class Counter:
         return sum(map(self.part, self.cut.split(text))) + len(self.cut.findall(text))
 
 
-@lru_cache(maxsize=2)
 def _counter(path: str, whole: frozenset[str]) -> Counter:
-    return Counter(path, whole)
+    return held("token counts", path, lambda: Counter(path, whole))
 
 
 def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIMIT,

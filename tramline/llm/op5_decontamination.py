@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import stored
+from tramline.llm.common import released, stored
 
 WORD = re.compile(r"[^\W_]+")
 PRODUCT = 1 << 18  # multiplications of one matrix product; larger ones would start threads that wait more than they work
@@ -138,7 +138,7 @@ def term_ids(docs: DataFrame, items: Items) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([f.astype(np.int16).tobytes()], pa.binary()),
                                                   pa.array([sizes.astype(np.int32).tobytes()], pa.binary())], names=["terms", "sizes"])
 
-    return docs.select("text").mapInArrow(run, "terms binary, sizes binary")
+    return docs.select("text").mapInArrow(released("decontamination", run), "terms binary, sizes binary")
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -158,7 +158,7 @@ def frequencies(terms: DataFrame, s: Settings) -> tuple[np.ndarray, int]:
             counts[:-1] += np.bincount(pairs % s.features, minlength=s.features)
         yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()], pa.binary())], names=["part"])
 
-    total = _summed(terms.mapInArrow(run, "part binary"), (1, s.features + 1))[0]
+    total = _summed(terms.mapInArrow(released("decontamination", run), "part binary"), (1, s.features + 1))[0]
     return total[:-1], int(total[-1])
 
 
@@ -195,7 +195,7 @@ def latent_space(terms: DataFrame, items: Items, idf: np.ndarray, rare: float, s
         last[0, 0] = energy
         yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([z, last]).tobytes()], pa.binary())], names=["part"])
 
-    total = _summed(terms.mapInArrow(run, "part binary"), (s.features + 1, width))
+    total = _summed(terms.mapInArrow(released("decontamination", run), "part binary"), (s.features + 1, width))
     z, energy = total[:-1].copy(), total[-1, 0]
     t = items.rows(idf).astype(np.float64)
     z += max(energy, 1.0) / max(1, len(t)) * (t.T @ (t @ omega))
@@ -327,7 +327,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
             columns = zip(*found, strict=True) if found else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return texts.mapInArrow(run, FOUND)
+    return texts.mapInArrow(released("decontamination", run), FOUND)
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), text_col: str = "text",
@@ -343,4 +343,4 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, settings: Setting
         for b in batches:
             yield b.filter(pa.array([not shared.value.text(t) for t in b.column(at).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released("decontamination", run), docs.schema)

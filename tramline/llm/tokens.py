@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import array
 import re
-from functools import lru_cache
 
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from tramline.llm.common import held
+
 MEMO = 1_000_000  # chunks kept per worker, about 150 MB
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Letters whose lower case and composed form are one code point each, then marks. The library's
@@ -89,6 +90,5 @@ class WordIds:
             return b"".join(map(memo.__getitem__, chunks))
 
 
-@lru_cache(maxsize=4)
 def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+    return held("word ids", path, lambda: WordIds(path))
