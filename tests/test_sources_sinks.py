@@ -376,3 +376,24 @@ def test_raw_days_go_when_their_feed_is_gone(spark, tmp_path):
     assert warehouse.read("raw_alerts").count() == 1
     daily.load_raw(warehouse, str(tmp_path / "nowhere"), "alerts", date(2024, 1, 10), date(2024, 1, 10))
     assert warehouse.read("raw_alerts").count() == 0
+
+
+def test_a_dimension_file_that_became_empty_empties_its_version(spark, tmp_path):
+    write_schedule(tmp_path)
+    folder = tmp_path / "v_20240101_020012"
+    warehouse = daily.Warehouse(spark, str(tmp_path / "wh"))
+    assert daily.load_schedule(warehouse, str(tmp_path)) and warehouse.read("dim_routes").count() > 0
+    header = (folder / "routes.txt").read_text().splitlines()[0]
+    (folder / "routes.txt").write_text(header + "\n")
+    assert daily.load_schedule(warehouse, str(tmp_path))
+    assert warehouse.read("dim_routes").count() == 0 and warehouse.read("dim_stops").count() > 0
+    assert "route_short_name" in warehouse.read("dim_routes").columns
+
+
+def test_alert_rows_that_arrived_for_a_range(spark, tmp_path):
+    state = LatestState(spark, str(tmp_path / "state"), s.FACT_ALERTS_ROUTES, ["entity_id"])
+    first, last = date(2024, 1, 2), date(2024, 1, 3)
+    assert state.arrived(first, last).count() == 0
+    for stamp in ("2024-01-01T23:59:59", "2024-01-02T00:00:00", "2024-01-03T23:59:59", "2024-01-04T00:00:00"):
+        state.merge(touched_routes(spark, stamp, stamp=stamp))
+    assert sorted(r.entity_id for r in state.arrived(first, last).collect()) == ["2024-01-02T00:00:00", "2024-01-03T23:59:59"]

@@ -685,6 +685,27 @@ def key_checks(spark, sf):
     return report.unionByName(other).unionByName(missing)
 
 
+@query
+def nightly_checks(spark, sf):
+    """The nightly report over a warehouse of facts, marts and raw rows, some positions stored twice."""
+    warehouse = daily.Warehouse(spark, scratch_dir(spark, "warehouse"))
+    positions, (periods, alert_routes, alerts) = _positions(spark, sf), _alert_facts(spark, sf)
+    tables = {
+        "raw_vehicle_positions": roles.raw_vehicle_positions(spark, sf), "raw_trip_updates": roles.raw_trip_updates(spark, sf),
+        "fact_vehicle_positions": positions.unionByName(positions.where(c("entity_id").cast("bigint") % 100 == 7)),
+        "fact_trip_updates": _updates(spark, sf), "metric_on_time": _on_time(spark, sf), "metric_occupancy_route_hour": _occupancy(spark, sf),
+        "metric_alerts_by_day": _alerts_by_day(spark, sf), "metric_alerts_by_day_stops": _alerts_by_stop(spark, sf),
+        "metric_service_delivered": _delivered(spark, sf),
+    }
+    for name, rows in tables.items():
+        conform(rows, TABLES[name][0]).write.parquet(warehouse.path(name))
+    roles.event_versions(spark, sf).write.parquet(warehouse.path("dim_static_versions"))
+    for name, rows in (("fact_alerts", alerts), ("fact_alerts_routes", alert_routes), ("fact_alerts_active_periods", periods)):
+        warehouse.state(name).merge(rows)
+    ranges = [roles.event_days(spark, sf), roles.trip_days(spark, sf), roles.alert_days(spark, sf)]
+    return daily.check_days(warehouse, min(r[0] for r in ranges), max(r[1] for r in ranges))
+
+
 # ---------------------------------------------------------------- streams
 
 

@@ -27,15 +27,15 @@ def orphans(df: DataFrame, parent: DataFrame, column: str, parent_column: str) -
 
 
 def constraint_report(df: DataFrame, keys: Sequence[str], required: Sequence[str]) -> DataFrame:
-    """One row per violated-or-not rule: (rule, violations)."""
-    duplicates = duplicate_keys(df, keys).agg(
-        F.lit("unique " + ", ".join(keys)).alias("rule"),
-        F.coalesce(F.sum(F.col("row_count") - 1), F.lit(0)).cast("bigint").alias("violations"),
-    )
-    if not required:
-        return duplicates
+    """One row per violated-or-not rule: (rule, violations). Keys and required columns may be empty."""
     nulls = null_counts(df, required).select(
         F.concat(F.lit("not null "), F.col("column_name")).alias("rule"),
         F.col("null_count").cast("bigint").alias("violations"),
+    ) if required else df.sparkSession.createDataFrame([], "rule string, violations bigint")
+    if not keys:
+        return nulls
+    duplicates = duplicate_keys(df, keys).agg(
+        F.lit("unique " + ", ".join(keys)).alias("rule"),
+        F.coalesce(F.sum(F.col("row_count") - 1), F.lit(0)).cast("bigint").alias("violations"),
     )
     return duplicates.unionByName(nulls)

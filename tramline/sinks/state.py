@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,15 @@ class LatestState:
     def read(self) -> DataFrame:
         return self._newest(self._live()).drop(_LOADED)
 
+    def arrived(self, first: date, last: date) -> DataFrame:
+        """Rows whose newest stamp lies in the range, of every part and before they are merged; only their row groups are read."""
+        paths = [f"{self.path}/parts/{p}" for p in self._live()]
+        if not paths:
+            return self.spark.createDataFrame([], self.layout)
+        kind = dict(self.spark.createDataFrame([], self.layout).dtypes)[self.newest]
+        rows = self.spark.read.schema(self.layout).parquet(*paths)
+        return rows.where((F.col(self.newest) >= F.lit(first).cast(kind)) & (F.col(self.newest) < F.lit(last + timedelta(days=1)).cast(kind)))
+
     def merge(self, batch: DataFrame) -> DataFrame:
         name = self._name()
         conform(batch, self.layout).withColumn(_LOADED, F.lit(name)).write.mode("errorifexists").parquet(f"{self.path}/parts/{name}")

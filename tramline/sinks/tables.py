@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,21 +25,26 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     )
 
 
-def replace_days(df: DataFrame, path: str, column: str, days: Sequence[date]) -> None:
+def replace_days(df: DataFrame, path: str, column: str, days: Sequence[date]) -> list[date]:
     """Replace the given days, also those for which ``df`` has no rows any more.
 
     This is delete-then-insert by day: rows of other days in ``df`` are not
-    written, and a day without rows ends up empty.
+    written, and a day without rows ends up empty. Gives the days without rows.
     """
     wanted = df.where(F.col(column).isin(list(days)))
     written = Observation()
     replace_partitions(wanted.observe(written, F.collect_set(F.col(column).cast("string")).alias("days")), path, [column])
-    empty = [d for d in days if d.isoformat() not in written.get["days"]]
+    try:
+        filled = set(written.get["days"])
+    except Py4JJavaError:  # nothing is measured where Spark knows beforehand that there are no rows
+        filled = set()
+    empty = [d for d in days if d.isoformat() not in filled]
     clear_days(df.sparkSession, path, column, empty)
     hadoop = df.sparkSession._jvm.org.apache.hadoop.fs
     for day in empty:
         folder = hadoop.Path(f"{path.rstrip('/')}/{column}={day.isoformat()}")
         folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).mkdirs(folder)
+    return empty
 
 
 def clear_days(spark: SparkSession, path: str, column: str, days: Sequence[date]) -> None:
@@ -50,9 +56,15 @@ def clear_days(spark: SparkSession, path: str, column: str, days: Sequence[date]
 
 
 def write_dimensions(tables: dict[str, DataFrame], base: str) -> None:
-    """Replace one schedule version in each dimension table."""
+    """Replace one schedule version in each dimension table, also where its file has no rows any more."""
+    start = tables["static_versions"].agg(F.min("feed_start_date").alias("start")).first()["start"]
     for name, df in tables.items():
-        replace_partitions(df, f"{base.rstrip('/')}/dim_{name}", ["feed_start_date"])
+        path = f"{base.rstrip('/')}/dim_{name}"
+        if start is None:
+            replace_partitions(df, path, ["feed_start_date"])
+        elif replace_days(df, path, "feed_start_date", [start]):
+            # An empty file keeps the table's columns known.
+            df.limit(0).drop("feed_start_date").write.mode("overwrite").parquet(f"{path}/feed_start_date={start.isoformat()}")
 
 
 def write_recent(rows: DataFrame, path: str) -> None:

@@ -63,11 +63,16 @@ DIMENSIONS: dict[str, list[Cast]] = {
 }
 
 
+#: Files of short codes, numbers and times, whose values never hold a line break; they can be read in splits.
+ONE_LINE_ROWS = ("stop_times", "calendar", "calendar_dates", "shapes")
+
+
 def read_schedule_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text; quotes are escaped by doubling and may hold line breaks."""
+    """All columns as text; quotes are escaped by doubling and may hold line breaks, except in ``ONE_LINE_ROWS``."""
+    lines = path.rsplit("/", 1)[-1].removesuffix(".txt") not in ONE_LINE_ROWS
     return (
         spark.read.option("header", True).option("inferSchema", False)
-        .option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
+        .option("quote", '"').option("escape", '"').option("multiLine", lines).csv(path)
     )
 
 
@@ -137,17 +142,16 @@ def read_live_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """stops, trips and shapes for the live view: trimmed text, unreadable shape points left out."""
     folder = folder.rstrip("/")
 
-    def text(name: str, *columns: str) -> DataFrame:
+    def text(name: str, *columns: str, absent: dict[str, str] = {}) -> DataFrame:  # noqa: B006 - never changed
         rows = read_schedule_csv(spark, f"{folder}/{name}.txt")
         rows = rows.toDF(*[c.lstrip("﻿") for c in rows.columns])
         return rows.select(*[
-            F.trim(F.coalesce(F.col(c), F.lit(""))).alias(c) if c in rows.columns else F.lit("").alias(c)
+            F.trim(F.coalesce(F.col(c), F.lit(""))).alias(c) if c in rows.columns else F.lit(absent.get(c, "")).alias(c)
             for c in columns
         ])
 
-    shapes = text("shapes", "shape_id", "shape_pt_sequence", "shape_pt_lat", "shape_pt_lon")
-    if not any(c.lstrip("\ufeff") == "shape_pt_sequence" for c in read_schedule_csv(spark, f"{folder}/shapes.txt").columns):
-        shapes = shapes.withColumn("shape_pt_sequence", F.lit("0"))  # a file without the column puts every point at 0
+    # A file without the sequence column puts every point at 0.
+    shapes = text("shapes", "shape_id", "shape_pt_sequence", "shape_pt_lat", "shape_pt_lon", absent={"shape_pt_sequence": "0"})
     return {
         "stops": text("stops", "stop_id", "stop_name").where((F.col("stop_id") != "") & (F.col("stop_name") != "")),
         "trips": text("trips", "trip_id", "route_id", "direction_id", "shape_id", "trip_headsign"),
