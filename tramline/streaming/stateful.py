@@ -16,18 +16,15 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 _OUT = "packed string"
+GROUPS = 8  # of the trips of a day; a group's open trips are read and written together
 
 
 class Newest(StatefulProcessor):
-    """The newest row per key as value state; ``due`` is when the key's timer goes off, in milliseconds of event time.
+    """The newest row per key as value state, given out whenever it changes.
 
-    With ``emit_at_end`` the row is given out once, by the timer; else every newer row is given out at once and the
-    timer, set anew by each newer row, only frees the state.
+    The key's timer, set anew by each newer row to ``due`` (milliseconds of event time), frees the state.
     """
 
-    def __init__(self, emit_at_end: bool):
-        self.emit_at_end = emit_at_end
-
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.newest = handle.getValueState("newest", "place string, packed string, due long")
@@ -45,29 +42,63 @@ class Newest(StatefulProcessor):
             if held is None or held[2] != best[2]:
                 self.handle.registerTimer(int(best[2]))
             self.newest.update((best[0], best[1], int(best[2])))
-            if not self.emit_at_end:
-                yield pd.DataFrame({"packed": [best[1]]})
+            yield pd.DataFrame({"packed": [best[1]]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         held = self.newest.get() if self.newest.exists() else None
         if held is not None and held[2] <= expiredTimerInfo.getExpiryTimeInMs():
             self.newest.clear()
-            if self.emit_at_end:
-                yield pd.DataFrame({"packed": [held[1]]})
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+class FinalRows(StatefulProcessor):
+    """The newest row of each member of a group as list state, given out when the group's one timer goes off.
+
+    All members of a group are due at the same time, so a batch reads and writes a group's state once, however many of
+    its members it has.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rows = handle.getListState("rows", "member string, place string, packed string")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        newest = {m: (m, *row) for m, *row in self.rows.get()} if self.rows.exists() else {}
+        timed, changed = bool(newest), False
+        for part in rows:
+            if not timed and len(part):
+                self.handle.registerTimer(int(part["due"].iloc[0]))
+                timed = True
+            for row in part[["member", "place", "packed"]].itertuples(index=False, name=None):
+                if row[0] not in newest or row[1] > newest[row[0]][1]:
+                    newest[row[0]] = row
+                    changed = True
+        if changed:
+            self.rows.put(list(newest.values()))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.rows.exists():
+            packed = [row[2] for row in self.rows.get()]
+            self.rows.clear()
+            yield pd.DataFrame({"packed": packed})
 
     def close(self) -> None:
         pass
 
 
-def _newest(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], due: Column, emit_at_end: bool) -> DataFrame:
+def _through_state(rows: DataFrame, keys: Sequence[Column], member: Column, order: Sequence[Column], due: Column,
+                   processor: StatefulProcessor, mode: str) -> DataFrame:
     """``rows`` must carry a watermark on ``event_time``. Columns travel through the state as one JSON text and keep their types."""
     columns = [c for c in rows.columns if c != "event_time"]
     layout = rows.select(columns).schema
     packed = rows.select(
-        *[F.col(k).cast("string").alias(f"key_{i}") for i, k in enumerate(keys)], "event_time",
+        *[k.cast("string").alias(f"key_{i}") for i, k in enumerate(keys)], "event_time", member.cast("string").alias("member"),
         F.concat(*order).alias("place"), F.to_json(F.struct(*columns), _TIMES).alias("packed"), due.cast("long").alias("due"))
-    found = packed.groupBy(*[f"key_{i}" for i in range(len(keys))]).transformWithStateInPandas(
-        Newest(emit_at_end), _OUT, "Append" if emit_at_end else "Update", "EventTime")
+    found = packed.groupBy(*[f"key_{i}" for i in range(len(keys))]).transformWithStateInPandas(processor, _OUT, mode, "EventTime")
     return found.select(F.from_json("packed", layout, _TIMES).alias("row")).select("row.*")
 
 
@@ -76,15 +107,16 @@ def sortable(time: str, missing: str = "") -> Column:
     return F.coalesce(F.lpad(F.unix_micros(F.col(time).cast("timestamp")).cast("string"), 20, "0"), F.lit(missing))
 
 
-def final_trips(updates: DataFrame, wait_days: int = 2) -> DataFrame:
+def final_trips(updates: DataFrame, wait_days: int = 2, groups: int = GROUPS) -> DataFrame:
     """Each trip's newest update, given out once its start day is ``wait_days`` days behind the watermark.
 
     ``updates`` are valid rows (see ``facts``) with a watermark on ``event_time``. The state holds one row per trip that is
-    still open; rows behind the watermark are dropped by Spark before they reach it.
+    still open, those of a start day in ``groups`` groups; rows behind the watermark are dropped by Spark before they reach it.
     """
     due = wall_epoch(F.date_add("trip_start_date", wait_days).cast("timestamp_ntz")) * 1000
     order = [sortable("snapshot_timestamp", "~"), F.lit("/"), sortable("ingested_at", "~"), F.lit("/"), F.coalesce("entity_id", F.lit("~"))]
-    return _newest(updates, ["trip_start_date", "trip_id"], order, due, emit_at_end=True)
+    group = F.pmod(F.xxhash64("trip_id"), F.lit(groups))
+    return _through_state(updates, [F.col("trip_start_date"), group], F.col("trip_id"), order, due, FinalRows(), "Append")
 
 
 def latest_rows(rows: DataFrame, key: str, time: str, tie: str, ttl_days: int) -> DataFrame:
@@ -93,7 +125,8 @@ def latest_rows(rows: DataFrame, key: str, time: str, tie: str, ttl_days: int) -
     ``tie`` is a whole number that settles equal times.
     """
     due = (wall_epoch(time) + ttl_days * 86_400) * 1000
-    return _newest(rows, [key], [sortable(time), F.lit("/"), F.lpad(F.col(tie).cast("string"), 20, "0")], due, emit_at_end=False)
+    order = [sortable(time), F.lit("/"), F.lpad(F.col(tie).cast("string"), 20, "0")]
+    return _through_state(rows, [F.col(key)], F.col(key), order, due, Newest(), "Update")
 
 
 def join_intervals(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str,
