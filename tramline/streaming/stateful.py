@@ -16,7 +16,7 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 _OUT = "packed string"
-GROUPS = 8  # of the trips of a day; a group's open trips are read and written together
+GROUPS = 2  # of the trips of a day; a group's open trips are read and written together
 
 
 class Newest(StatefulProcessor):
