@@ -8,6 +8,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import EDGES
 from tramline.llm import op3_url_filters as urls
@@ -45,32 +46,65 @@ def test_hosts_paths_rules(spark):
     assert urls.url_verdicts(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def pad(url):
+    """START and the URL, with its host in lower case."""
+    head, mark, rest = url.partition("://")
+    cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    low = lambda x: "".join(c.lower() if c.isascii() else c for c in x)
+    return urls.START * urls.ORDER + (low(head) + mark + low(rest[:cut]) + rest[cut:] if mark else url)
+
+
+def plain_score(url, every, models):
+    """The mean log ratio by counts of all orders at hand, one character after the other."""
+    alphabet = len({c for u in every for c in pad(u)[urls.ORDER:]})
+
+    def prob(seen, f, i):
+        p = 1 / (alphabet + 1)
+        for k in range(urls.ORDER + 1):
+            context = sum(n for g, n in seen.items() if len(g) == k + 1 and g[:k] == f[i - k:i])
+            if k == 0 or context >= urls.SUPPORT:
+                p = (seen[f[i - k:i + 1]] + urls.BACK * p) / (context + urls.BACK)
+        return p
+
+    f = pad(url)
+    logs = [math.log(prob(models["allow"], f, i) / prob(models["block"], f, i)) for i in range(urls.ORDER, len(f))]
+    return sum(logs) / len(logs)
+
+
+def test_grams_of_odd_urls(spark):
+    odd = [u for u in URLS if u is not None] + ["http://x.com/" + "é😀\n" * 3, "HTTP://É.Com?Q=A"]
+    rows = spark.createDataFrame(list(enumerate(odd)), "k int, url string").select("k", urls.grams(F.col("url")).alias("g")).collect()
+    for r in rows:
+        f = pad(odd[r["k"]])
+        assert r["g"] == [f[i:i + urls.ORDER + 1] for i in range(len(f) - urls.ORDER)]
+
+
+def test_contexts_beyond_trigrams_long_urls_and_repeated_ids(spark):
+    train = [f"http://{a}{k}.com/{a}xyzw{b}" for k in range(60) for a, b in (("q", "1"), ("r", "2"))]
+    train += [f"http://{a}{k}.net/es/{a}xyzw{b}" for k in range(60) for a, b in (("q", "2"), ("r", "1"))]
+    same_trigrams = ["http://n.org/qxyzw1//rxyzw2//", "http://n.org/qxyzw2//rxyzw1//"]
+    assert Counter(zip(*(same_trigrams[0][k:] for k in range(3)))) == Counter(zip(*(same_trigrams[1][k:] for k in range(3))))
+    rows = list(enumerate(train)) + [(7, same_trigrams[0]), (7, same_trigrams[1]), (None, same_trigrams[0]), (8, "http://n.org/" + "qxyzw1/" * 60_000)]
+    got = urls.url_verdicts(spark.createDataFrame(rows, "page_id long, url string")).where("rule is null").collect()
+    by_path = {}
+    for r in got:
+        by_path.setdefault(r["path"][:14], []).append(r["score"])
+    good, bad, long = by_path["/qxyzw1//rxyzw"], by_path["/qxyzw2//rxyzw"], by_path["/qxyzw1/qxyzw1"]
+    assert len(good) == 2 and len(set(good)) == 1 and len(bad) == len(long) == 1 and good[0] > bad[0] and long[0] > bad[0]
+
+
 def test_scores_equal_a_plain_model(spark):
     rng = random.Random(1)
     sites = [f"http://{rng.choice(['good', 'fine', 'calm'])}{k}.example.com/de/{k}" for k in range(200)]
     sites += [f"http://{rng.choice(['spam', 'pills', 'bets'])}{k}.other.net/es/{k}" for k in range(200)]
     sites += [f"http://{w}{k}.example.org/de/{k}" for k in range(40) for w in ("good", "spam")]
     got = {r["page_id"]: r for r in urls.url_verdicts(spark.createDataFrame(list(enumerate(sites)), "page_id long, url string")).collect()}
-    fold = lambda u: "^^" + "".join(c if c in urls.KEPT else "?" if c in "?&=#%+" else "*" for c in u.lower())
     models = {}
     for name in ("allow", "block"):
-        grams = Counter()
-        for u in sites:
-            if ruled(*parse(u))[1] == name and zlib.crc32(u.encode()) % urls.FOLDS:
-                f = fold(u)
-                grams.update(f[i:i + 3] for i in range(len(f) - 2))
-        models[name] = grams
-
-    def prob(g, name):
-        t, total = models[name], lambda p: sum(n for x, n in models[name].items() if p(x))
-        p = (total(lambda x: x[2] == g[2]) + urls.BACK / urls.SYMBOLS) / (sum(t.values()) + urls.BACK)
-        p = (total(lambda x: x[1:] == g[1:]) + urls.BACK * p) / (total(lambda x: x[1] == g[1]) + urls.BACK)
-        return (t[g] + urls.BACK * p) / (total(lambda x: x[:2] == g[:2]) + urls.BACK)
-
+        seen = [pad(u) for u in sites if ruled(*parse(u))[1] == name and zlib.crc32(u.encode()) % urls.FOLDS]
+        models[name] = Counter(f[i - k:i + 1] for f in seen for i in range(urls.ORDER, len(f)) for k in range(urls.ORDER + 1))
     for k in (0, 250, 400, 401):
-        f = fold(sites[k])
-        grams = [f[i:i + 3] for i in range(len(f) - 2)]
-        assert got[k]["score"] == pytest.approx(sum(math.log(prob(g, "allow") / prob(g, "block")) for g in grams) / len(grams))
+        assert got[k]["score"] == pytest.approx(plain_score(sites[k], sites, models), abs=1e-9)
     undecided = [("spam" in sites[k], got[k]["score"]) for k in range(400, 480)]
     assert max(s for spam, s in undecided if spam) < min(s for spam, s in undecided if not spam)
     cut = min(got[k]["score"] for k in range(480) if got[k]["verdict"] == "allow")

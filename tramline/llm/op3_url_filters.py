@@ -1,11 +1,16 @@
 """URL filters: rules first, then the ratio of two character models. DataFrame functions only.
 
 URLs that a rule allows and URLs that a rule blocks train one variable-order Markov model each. The
-probability of a character after its context backs off from two characters to one to none:
-P_k = (count + BACK * P_(k-1)) / (context count + BACK), and P_(-1) is uniform. Characters are folded
-to ``SYMBOLS`` symbols, so there are at most SYMBOLS ** 3 trigrams whatever the data; that table of
-log ratios is the one thing broadcast. A URL's score is the mean log ratio over its characters, and
-the threshold is the score that separates best the rule-decided URLs kept out of training.
+probability of a character after its context backs off from ORDER characters to none:
+P_k = (count + BACK * P_(k-1)) / (context count + BACK), and P_(-1) is uniform over the characters seen
+and one more. A context is extended by a further character only where the longer one occurs at least
+SUPPORT times in the model's own URLs; else P_k = P_(k-1). Characters are not folded (a host's A-Z are
+lower-cased), so contexts are as many as the URLs give: the table of log ratios grows with the input,
+is kept in the shared folder and joined by a shuffle. Grams that hold more than 1/HOT of all characters
+(fewer than HOT grams, whatever the data) are salted.
+
+A URL's score is the mean log ratio over its characters, and the threshold is the score that separates
+best the rule-decided URLs kept out of training.
 """
 
 from __future__ import annotations
@@ -14,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tramline.llm.common import partitions, stored
+
 RULES = (  # verdict, host, path
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -22,9 +29,11 @@ RULES = (  # verdict, host, path
     ("block", "net", "/fr/"),
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-KEPT = LOWER + "0123456789./-_:"  # characters with a symbol of their own
-SYMBOLS = len(KEPT) + 3  # ? for the query's marks, * for all others, ^ before the start
-BACK = 5.0
+START = "\x02"  # stands before the first character
+ORDER = 5  # longest context
+SUPPORT = 4  # occurrences that let a context be extended
+BACK = 1.0
+HOT = 64
 FOLDS = 5  # one in FOLDS rule-decided URLs calibrates the threshold and doesn't train
 BIN = 0.01
 
@@ -47,37 +56,55 @@ def by_rules(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def folded(url: Column) -> Column:
-    """The URL in symbols: lower case, query marks as ?, other characters as *; two ^ before it."""
-    text = F.translate(F.coalesce(url, F.lit("")), UPPER, LOWER)
-    text = F.regexp_replace(text, r"[?&=#%+]", "?")
-    return F.concat(F.lit("^^"), F.regexp_replace(text, r"[^a-z0-9./\-_:?]", "*"))
-
+def grams(url: Column) -> Column:
+    """Each character of the URL with the ORDER before it, START where there are none; a host's A-Z are lower-cased.
 
-def trigrams(symbols: Column) -> Column:
-    """All trigrams, one for each character of the URL; none for an empty one."""
-    n = F.length(symbols)
-    return F.when(n > 2, F.transform(F.sequence(F.lit(1), n - 2), lambda i: F.substring(symbols, i, F.lit(3)))).otherwise(F.array().cast("array<string>"))
+    One pass of a regular expression with a look-ahead, so a very long URL costs no more per character. Nothing for null.
+    """
+    host_end = F.length(F.regexp_extract(url, r"^(?s).*?://[^/?#]*", 0))
+    text = F.concat(F.translate(F.substring(url, F.lit(1), host_end), UPPER, LOWER), F.substring(url, host_end + 1, F.length(url)))
+    return F.regexp_extract_all(F.concat(F.lit(START * ORDER), text), F.lit(rf"(?s)(?=(.{{{ORDER + 1}}}))."), F.lit(1))
 
 
 def log_ratios(counts: DataFrame) -> DataFrame:
-    """gram, ratio: log P(accepted) - log P(rejected) of the last character after the first two, for every trigram counted.
+    """gram, ratio: log P(accepted) - log P(rejected) of the last character after the others, for every gram counted.
 
-    ``counts``: gram, good, bad (how often in accepted and rejected URLs). Sums over contexts are
-    windows over at most SYMBOLS ** 3 rows.
+    ``counts``: gram of ORDER + 1 characters, good, bad (how often in accepted and rejected URLs). Each order's counts are sums
+    over the longer grams that end alike, and its probabilities join those of the order below by the gram without its first
+    character. A join key or window holds at most one row per character of the alphabet.
     """
-    last, ctx2, ctx1 = F.substring("gram", 3, 1), F.substring("gram", 1, 2), F.substring("gram", 2, 1)
-    t = counts.select("gram", "good", "bad", last.alias("c"), ctx2.alias("x2"), ctx1.alias("x1"))
-
-    def model(n: str) -> Column:
-        def total(*by: str) -> Column:
-            return F.sum(n).over(W.partitionBy(*by))
-        p = F.lit(1.0 / SYMBOLS)
-        p = (total("c") + BACK * p) / (total("all") + BACK)
-        p = (total("x1", "c") + BACK * p) / (total("x1") + BACK)
-        return (F.col(n) + BACK * p) / (total("x2") + BACK)
-
-    return t.withColumn("all", F.lit(1)).select("gram", (F.log(model("good")) - F.log(model("bad"))).alias("ratio"))
+    lower = None
+    for order in range(ORDER + 1):
+        level = counts.groupBy(F.substring("gram", -order - 1, order + 1).alias("gram")).agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+        context = W.partitionBy(F.substring("gram", 1, order))
+        level = level.select("*", F.sum("good").over(context).alias("good_context"), F.sum("bad").over(context).alias("bad_context"),
+                             F.count(F.lit(1)).over(context).alias("characters"))
+        if lower is None:
+            uniform = 1.0 / (F.col("characters") + 1)
+            level = level.select("*", uniform.alias("good_below"), uniform.alias("bad_below"))
+        else:
+            level = (level.withColumn("ending", F.substring("gram", 2, order))
+                     .join(lower.select(F.col("gram").alias("ending"), F.col("good_p").alias("good_below"), F.col("bad_p").alias("bad_below")), "ending"))
+
+        def model(n: str, order: int = order) -> Column:
+            p = (F.col(n) + BACK * F.col(f"{n}_below")) / (F.col(f"{n}_context") + BACK)
+            return F.when(F.col(f"{n}_context") >= SUPPORT, p).otherwise(F.col(f"{n}_below")) if order else p
+
+        lower = level.select("gram", model("good").alias("good_p"), model("bad").alias("bad_p"))
+    return lower.select("gram", (F.log("good_p") - F.log("bad_p")).cast("decimal(20,12)").alias("ratio"))
+
+
+def mean_ratios(urls: DataFrame, counts: DataFrame) -> DataFrame:
+    """row, score: mean log ratio of the characters of ``urls`` (row, url); no row without characters. ``counts`` also has times."""
+    most = partitions(urls.sparkSession)
+    share = F.col("times") / counts.agg(F.sum("times")).scalar()
+    hot = F.broadcast(counts.where(share > 1.0 / HOT).select("gram", F.greatest(F.lit(2), F.ceil(share * most)).cast("int").alias("salts")))  # < HOT rows
+    salts = F.coalesce("salts", F.lit(1))
+    here = (urls.select("row", F.explode(grams(F.col("url"))).alias("gram")).join(hot, "gram", "left")
+            .select("row", "gram", F.pmod(F.xxhash64("row"), salts.cast("long")).cast("int").alias("salt")))
+    table = log_ratios(counts).join(hot, "gram", "left").select("gram", "ratio", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    return (here.join(table, ["gram", "salt"]).groupBy("row")
+            .agg((F.sum("ratio").cast("double") / F.count(F.lit(1))).alias("score")))  # decimals: the same sum in any order
 
 
 def url_verdicts(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -85,26 +112,23 @@ def url_verdicts(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col
 
     A rule's verdict stands. Other URLs are allowed if their score reaches the threshold. A null or
     empty URL has no score and is blocked, as there is nothing to fetch. If rules decide no accepted
-    or no rejected URL there is nothing to learn from: the ratio is 0 and undecided URLs are allowed.
-    Ids may be null or repeat; other columns are not read.
+    or no rejected URL there is nothing to separate, and undecided URLs are allowed. Ids may be null
+    or repeat: each row is judged for itself, equal URLs alike. A very long URL is read whole. Other
+    columns are not read. An empty table gives no rows.
     """
     named = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"))
     host, path = host_and_path(F.col("url"))
     base = named.select("page_id", "url", host.alias("host"), path.alias("path"))
     rule, ruled = by_rules(F.col("host"), F.col("path"), rules)
-    base = base.select("page_id", "url", "host", "path", rule.alias("rule"), ruled.alias("ruled"))
-    grams = base.select("*", F.explode_outer(trigrams(folded(F.col("url")))).alias("gram"))
     fold = F.pmod(F.crc32(F.coalesce("url", F.lit("")).cast("binary")), F.lit(FOLDS))
-    trains = fold != 0
-    counts = grams.where("gram is not null").groupBy("gram").agg(
-        F.coalesce(F.sum(F.when((F.col("ruled") == "allow") & trains, 1)), F.lit(0)).alias("good"),
-        F.coalesce(F.sum(F.when((F.col("ruled") == "block") & trains, 1)), F.lit(0)).alias("bad"))
-    table = F.broadcast(log_ratios(counts))  # at most SYMBOLS ** 3 rows
-    row = F.monotonically_increasing_id().alias("row")
-    keyed = base.select("*", row)
-    scored = (keyed.select("*", F.explode_outer(trigrams(folded(F.col("url")))).alias("gram")).join(table, "gram", "left")
-              .groupBy("row", "page_id", "host", "path", "rule", "ruled", F.when(fold == 0, F.lit(True)).otherwise(F.lit(False)).alias("calibrates"))
-              .agg(F.avg("ratio").alias("score")))
+    base = stored(base.select("page_id", "url", "host", "path", rule.alias("rule"), ruled.alias("ruled"), (fold == 0).alias("calibrates"),
+                              F.monotonically_increasing_id().alias("row")), "urls")  # stored: a row keeps its number whoever is lost
+    trains = ~F.col("calibrates")
+    counts = stored(base.select("ruled", "calibrates", F.explode(grams(F.col("url"))).alias("gram")).groupBy("gram").agg(
+        F.count(F.when((F.col("ruled") == "allow") & trains, 1)).alias("good"),
+        F.count(F.when((F.col("ruled") == "block") & trains, 1)).alias("bad"), F.count(F.lit(1)).alias("times")), "url-grams")
+    scores = stored(mean_ratios(base.select("row", "url"), counts), "url-scores")
+    scored = base.join(scores, "row", "left")
     bins = (scored.where("calibrates and ruled is not null and score is not null")
             .groupBy(F.floor(F.col("score") / BIN).alias("bin"))
             .agg(F.count(F.when(F.col("ruled") == "allow", 1)).alias("good"), F.count(F.when(F.col("ruled") == "block", 1)).alias("bad")))
