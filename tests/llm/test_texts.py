@@ -193,7 +193,7 @@ def brute_components(rows):
     for i, t in rows:
         w = (t or "").encode().lower().split()
         sets[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
-    parent = {i: i for i in sets}
+    parent, links = {i: i for i in sets}, dict.fromkeys(sets, 0)
 
     def root(x):
         while parent[x] != x:
@@ -204,15 +204,18 @@ def brute_components(rows):
         if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
             x, y = root(a), root(b)
             parent[max(x, y)] = min(x, y)
-    return {(i, len(sets[i]), root(i)) for i in sets}
+            links[a], links[b] = links[a] + 1, links[b] + 1
+    return {(i, len(sets[i]), root(i), links[i]) for i in sets}
 
 
-@pytest.mark.parametrize("cell", [512, 12])
-def test_jaccard_components(docs, monkeypatch, cell):
+@pytest.mark.parametrize(("cell", "entries"), [(1024, 2_000_000), (12, 2_000_000), (1024, 500)])
+def test_jaccard_components(docs, monkeypatch, cell, entries):
     monkeypatch.setattr(jaccard, "CELL", cell)  # 12: the large group goes the way of hot cells
+    monkeypatch.setattr(jaccard, "ENTRIES", entries)
     rng = random.Random(7)
     texts = near_copies(rng, 60, 120, 4) + near_copies(rng, 8, 30, 1) + near_copies(rng, 5, 4, 1) + near_copies(rng, 20, 60, 9)
     texts += [f"u{k} v{k} x y z shared line of five words u{k}" for k in range(20)] + ["A b C", "a B c", "a\tb\x0bc", "a b c d"]
+    texts += texts[3:9] + texts[60:64] * 3  # equal sets inside groups of near copies
     rows = [(1000 - k, t) for k, t in enumerate(texts)] + [(5000, None), (5001, ""), (5002, " \n")]
     got = {tuple(r) for r in jaccard.jaccard_components(docs(rows)).collect()}
     assert got == brute_components(rows)
@@ -222,9 +225,29 @@ def test_jaccard_edges(docs):
     rows = jaccard.jaccard_components(docs([*EDGES, (7, "no id at all"), (None, None)])).collect()
     assert len(rows) == len(EDGES) + 2
     assert {(r["doc_id"], r["component_id"]) for r in rows} == {(1, 1), (2, 2), (3, 3), (4, 4), (None, 7), (5, 5), (6, 6), (7, 7), (None, None)}
+    assert sorted((r["doc_id"] or 0, r["n_links"]) for r in rows) == [(0, 0), (0, 1), (1, 0), (2, 0), (3, 0), (4, 1), (4, 1), (5, 0), (6, 0), (7, 1)]
     assert jaccard.jaccard_components(docs([])).count() == 0
 
 
+def test_jaccard_repeated_ids(docs):
+    words = [f"w{k}" for k in range(60)]
+    near = [" ".join([*words[:k], "x", *words[k + 1:]]) for k in (0, 59)]
+    rows = jaccard.jaccard_components(docs([(1, " ".join(words)), (1, near[0]), (2, near[1]), (None, near[1]), (3, "far from all of these")])).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"], r["n_links"]) for r in rows) == [(0, 1, 3), (1, 1, 3), (1, 1, 3), (2, 1, 3), (3, 3, 0)]
+
+
+def test_jaccard_regions_lose_no_link():
+    rng = random.Random(8)
+    groups = [near_copies(rng, 12, 90, 12) for _ in range(12)]
+    sets = [jaccard.shingles(t) for g in groups for t in g]
+    links = jaccard.Links(np.array([len(x) for x in sets]), [x.tobytes() for x in sets])
+    links.join(np.arange(len(sets)))
+    for i, j in combinations(range(len(sets)), 2):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        assert links.linked[i, j] == links.linked[j, i] == (100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both))
+    assert 0 < np.triu(links.linked, 1).sum() < 12 * 66
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     sf = str(tmp_path)
     rng = random.Random(8)

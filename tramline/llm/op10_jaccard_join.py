@@ -13,11 +13,12 @@ corpus; the join therefore works on two levels of pivots.
 * Level 2: overlapping regions make a cell, a closed world for its documents. In a cell documents
   are the pivots: links to pivots are found, each document gets its nearest pivot's region and is
   replicated to those that the triangle inequality doesn't exclude (d(x, q) <= d(x, p) + 2 * 0.2),
-  and regions are joined recursively. A region whose documents are already connected is done. Where
-  distances are too even for regions to shrink, the pivots leave and the rest goes on as one region.
+  and regions are joined recursively. Where distances are too even for regions to shrink, the
+  pivots leave and the rest goes on as one region. Every linked pair of the cell is found.
 
-Equal sets are one document. A cell above ``CELL`` documents is first compared with a few pivots in
-blocks; what hangs on its busiest pivot is connected, and only the others meet all blocks.
+Equal sets are one document with its number of copies. A cell above ``CELL`` documents or ``ENTRIES``
+shingles is cut into blocks: each block is joined as above, and each pair of blocks is a task of its
+own. Tasks give a row per document that has links, with their number, never the pairs.
 Shingles are 64-bit hashes of whole words' hashes; sets are told apart by 128 bits.
 """
 
@@ -37,7 +38,8 @@ from tramline.llm.common import connected_components, partitions, released, stor
 
 SHINGLE = 5
 PERCENT = 80  # linked: 100 * intersection >= PERCENT * union
-CELL = 512  # documents compared in one task
+CELL = 1024  # documents of a block
+ENTRIES = 2_000_000  # shingles of a block, longer single documents excepted
 PIVOTS = 8
 BUCKET = 1_000_000  # shingles dealt to one task
 HOT_SHARE = 0.01  # of all documents; at most 1 / HOT_SHARE such shingles per shingle of a mean document
@@ -78,7 +80,7 @@ def at_least(share_of: np.ndarray | int):
 # --- pass 1: sizes, signatures, frequent shingles ---------------------------------------------------------
 
 def _summaries(docs: DataFrame) -> DataFrame:
-    """kind 0: id, shingles, signature of a row. kind 1: a shingle frequent within a batch, and in how many sets of it."""
+    """kind 0: id, shingles, signature of a row and its first half. kind 1: a shingle frequent within a batch, and in how many sets of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, ns, sigs, seen = b.column(0).to_pylist(), [], [], {}
@@ -98,9 +100,11 @@ def _summaries(docs: DataFrame) -> DataFrame:
 
     def _batch(kind, key, n, sig):
         return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(key, pa.int64()), pa.array(n, pa.int64()),
-                                           pa.array(sig, pa.binary())], names=["kind", "key", "n", "sig"])
+                                           pa.array(sig, pa.binary()),
+                                           pa.array([x and int.from_bytes(x[:8], "little", signed=True) for x in sig], pa.int64())],
+                                          names=["kind", "key", "n", "sig", "half"])
 
-    return docs.mapInArrow(released("jaccard join", run), "kind int, key long, n long, sig binary")
+    return docs.mapInArrow(released("jaccard join", run), "kind int, key long, n long, sig binary, half long")
 
 
 # --- pass 2: document frequencies ------------------------------------------------------------------------
@@ -206,14 +210,14 @@ def _boundary(part: pd.DataFrame) -> pd.DataFrame:
     key = key[owner]
     order = np.lexsort((entries["hash"], entries["df"], key))
     entries, owner, key = entries[order], owner[order], key[order]
-    rows, at = {"doc": [], "n": [], "regions": [], "shared": []}, 0
+    rows, at = {"doc": [], "half": [], "regions": [], "shared": []}, 0
     for end in (np.flatnonzero(np.append(key[1:] != key[:-1], True)) + 1 if len(key) else ()):
         n = int(docs["n"][owner[at]])
         own = entries["hash"][at:end]
         window = n - int(at_least(n)) + 1 - (n - len(own))  # what the unshared, rarest shingles leave of it
         if window > 0:
             rows["doc"].append(int(docs["id"][owner[at]]))
-            rows["n"].append(n)
+            rows["half"].append(int(docs["sig"][owner[at]].view(np.int64)))
             rows["regions"].append(own[:window].view(np.int64))
             rows["shared"].append(np.sort(own).tobytes())
         at = end
@@ -223,119 +227,105 @@ def _boundary(part: pd.DataFrame) -> pd.DataFrame:
 # --- cells -------------------------------------------------------------------------------------------------
 
 class Links:
-    """Links among a task's documents: exact tests, and who is connected with whom."""
+    """All links among the documents of a task, as a matrix."""
 
-    def __init__(self, n: list[int], shared: list[bytes]):
+    def __init__(self, n: np.ndarray, shared: list[bytes]):
         self.n = n
-        self.sets = [frozenset(np.frombuffer(s, np.uint64).tolist()) for s in shared]
-        self.parent = list(range(len(n)))
-
-    def root(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = self.parent[self.parent[i]]
-            i = self.parent[i]
-        return i
-
-    def compare(self, i: int, j: int) -> float:
-        """Distance; a link connects the two."""
-        both = len(self.sets[i] & self.sets[j])
-        union = self.n[i] + self.n[j] - both
-        if 100 * both >= PERCENT * union:
-            a, b = self.root(i), self.root(j)
-            self.parent[max(a, b)] = min(a, b)
-        return 1 - both / union
-
-    def join(self, members: list[int], pivots: int = PIVOTS) -> None:
-        """Connects all linked documents among ``members``: pivots, Voronoi regions, windows, recursion."""
+        self.size = np.array([len(s) // 8 for s in shared])
+        self.start = np.cumsum(self.size) - self.size
+        hashes, codes = np.unique(np.frombuffer(b"".join(shared), np.uint64), return_inverse=True)
+        self.codes = codes.astype(np.int32)
+        self.mark = np.zeros(len(hashes), bool)
+        self.linked = np.zeros((len(n), len(n)), bool)
+
+    def compare(self, members: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+        """Distances of members (rows) and pivots (columns); links among them are kept."""
+        size = self.size[members]
+        begin = np.cumsum(size) - size
+        codes = self.codes[np.repeat(self.start[members] - begin, size) + np.arange(size.sum())]
+        out = np.empty((len(members), len(pivots)))
+        for k, p in enumerate(pivots):
+            own = self.codes[self.start[p]:self.start[p] + self.size[p]]
+            self.mark[own] = True
+            both = np.add.reduceat(self.mark[codes], begin, dtype=np.int64)
+            self.mark[own] = False
+            union = self.n[members] + self.n[p] - both
+            hit = members[100 * both >= PERCENT * union]
+            self.linked[p, hit] = self.linked[hit, p] = True
+            out[:, k] = 1 - both / union
+        return out
+
+    def join(self, members: np.ndarray, pivots: int = PIVOTS) -> None:
+        """Finds all links among ``members``: pivots, Voronoi regions, windows, recursion."""
         limit = 1 - PERCENT / 100
         todo = [members]
         while todo:
             region = todo.pop()
-            if len({self.root(i) for i in region}) < 2:
-                continue
             if len(region) <= 2 * pivots:
-                for a, i in enumerate(region):
-                    for j in region[a + 1:]:
-                        if self.root(i) != self.root(j) and 100 * min(self.n[i], self.n[j]) >= PERCENT * max(self.n[i], self.n[j]):
-                            self.compare(i, j)
+                if len(region) > 1:
+                    self.compare(region, region)
                 continue
-            step = len(region) // pivots
-            chosen = region[::step][:pivots]
-            d = np.array([[0.0 if i == p else self.compare(i, p) for p in chosen] for i in region])
-            rest = [k for k, i in enumerate(region) if i not in set(chosen)]
+            chosen = region[::len(region) // pivots][:pivots]
+            d = self.compare(region, chosen)
+            stays = ~np.isin(region, chosen)
+            rest, d = region[stays], d[stays]
             home = d.argmin(axis=1)
             near = d <= d.min(axis=1)[:, None] + 2 * limit + 1e-9
-            regions = [[region[k] for k in rest if near[k, q]] for q in range(len(chosen)) if (home[rest] == q).any()]
-            if sum(map(len, regions)) <= 1.5 * len(rest):
-                todo += regions
-            else:
-                todo.append([region[k] for k in rest])
-
-
-def _cell(part: pd.DataFrame) -> pd.DataFrame:
-    """Edges from each document of a task to the first one it is connected with."""
-    links = Links(part["n"].tolist(), part["shared"].tolist())
-    order = np.argsort(part["n"].to_numpy(), kind="stable").tolist()
-    links.join(order)
-    ids = part["doc"].tolist()
-    edges = [(ids[i], ids[r]) for i in range(len(ids)) if (r := links.root(i)) != i]
-    return pd.DataFrame(edges, columns=["a", "b"])
-
-
-def _against_pivots(part: pd.DataFrame) -> pd.DataFrame:
-    """Links of a block's documents to the cell's pivots."""
-    links = Links(part["n"].tolist(), part["shared"].tolist())
-    ids, pivot = part["doc"].tolist(), part["pivot"].tolist()
-    rows = [(part["cell"].iloc[0], ids[i], ids[p]) for p in range(len(ids)) if pivot[p] for i in range(len(ids))
-            if not pivot[i] and (ids[i] == ids[p] or links.compare(i, p) <= 1 - PERCENT / 100 + 1e-12)]
-    return pd.DataFrame(rows, columns=["cell", "doc", "to"])
+            regions = [rest[near[:, q]] for q in np.unique(home)]
+            todo += regions if sum(map(len, regions)) <= 1.5 * len(rest) else [rest]
+
+    def roots(self) -> np.ndarray:
+        """The first document that each one is connected with."""
+        root = np.full(len(self.n), -1)
+        for i in range(len(root)):
+            reached = np.array([i]) if root[i] < 0 else np.zeros(0, int)
+            while len(reached):
+                root[reached] = i
+                reached = np.flatnonzero(self.linked[reached].any(axis=0) & (root < 0))
+        return root
+
+
+def _unit(part: pd.DataFrame) -> pd.DataFrame:
+    """Of a block or a pair of blocks: each document with links, the first one it is connected with, and how many rows it links with."""
+    part = part.sort_values(["n", "doc", "half"], ignore_index=True)
+    links = Links(part["n"].to_numpy(np.int64), part["shared"].tolist())
+    every, block = np.arange(len(part)), part["block"].to_numpy()
+    if part["i"].iloc[0] == part["j"].iloc[0]:
+        links.join(every)
+    elif (block != block[0]).any():
+        links.compare(every[block == block[0]], every[block != block[0]])
+    np.fill_diagonal(links.linked, False)
+    some = links.linked.any(axis=1)
+    counts = links.linked @ part["copies"].to_numpy(np.int64)
+    return pd.DataFrame({"doc": part["doc"][some], "half": part["half"][some], "root": part["doc"].to_numpy()[links.roots()[some]], "links": counts[some]})
 
 
 def _linked(members: DataFrame) -> DataFrame:
-    """Edges among the members (cell, doc, n, shared, size) of cells, enough to connect what is linked."""
-    small = members.where(F.col("size") <= CELL)
-    edges = small.groupBy("cell").applyInPandas(_cell, "a long, b long")
-    big = members.where(F.col("size") > CELL).withColumn("blocks", F.ceil(F.col("size") / CELL).cast("int"))
-    if big.isEmpty():
-        return edges
-    big = big.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks").cast("long")).cast("int"))
-    rank = W.partitionBy("cell").orderBy(F.xxhash64("doc", F.lit(5)), "doc")
-    pivots = (big.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= PIVOTS)
-              .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    columns = ["cell", "block", "doc", "n", "shared"]
-    to = stored(big.select(*columns, F.lit(False).alias("pivot")).unionByName(pivots.select(*columns, F.lit(True).alias("pivot")))
-                .repartition("cell", "block").groupBy("cell", "block").applyInPandas(_against_pivots, "cell long, doc long, to long"), "pivot-links")
-    busiest = (to.groupBy("cell", "to").count().groupBy("cell")
-               .agg(F.max_by("to", F.struct("count", "to")).alias("to")))
-    hanging = to.join(busiest, ["cell", "to"]).select("cell", "doc").distinct().withColumn("hangs", F.lit(True))
-    big = big.join(hanging, ["cell", "doc"], "left").withColumn("free", F.col("hangs").isNull())
-    free = big.where("free").groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("free_blocks"))
-    big = big.join(free, "cell")
-    free_block = F.pmod(F.xxhash64("doc", F.lit(9)), F.col("free_blocks").cast("long")).cast("int")
-    rows = ["cell", "doc", "n", "shared"]
-    units = (big.where("free").withColumn("i", free_block).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select(*rows, "i", "j")
-             .unionByName(big.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("free_blocks") - 1))).select(*rows, "i", F.col("block").alias("j"))))
-    units = units.dropDuplicates(["cell", "i", "j", "doc", "n", "shared"]).repartition("cell", "i", "j")
-    rest = units.groupBy("cell", "i", "j").applyInPandas(_cell, "a long, b long")
-    return edges.unionByName(rest).unionByName(to.select(F.col("doc").alias("a"), F.col("to").alias("b")))
+    """doc, half, root, links of the members (cell, blocks, doc, half, n, copies, shared) of cells; a row per task that found links."""
+    block = F.pmod(F.xxhash64("doc", "half"), F.col("blocks").cast("long")).cast("int")
+    units = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    units = units.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks")
+    return units.repartition("cell", "i", "j").groupBy("cell", "i", "j").applyInPandas(_unit, "doc long, half long, root long, links long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, n_shingles, component_id of every row.
+    """``id_col``, n_shingles, component_id, n_links of every row; n_links counts the other rows it is linked with.
 
     Texts without words (null, empty, blank) have 0 shingles and stand alone. Rows with equal sets
-    are linked; a null id takes the component of its set's other rows, or null. Rows that repeat an
-    id count as one node. Other columns are not read. An empty table gives no rows.
+    are linked; a null id takes the component of its set's other rows, or null, and a set that has
+    only null ids is linked with equal sets alone. Rows that repeat an id are one node of a component,
+    but count as the rows they are in n_links. Texts are read whole, however long. Other columns are
+    not read. An empty table gives no rows.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     seen = stored(_summaries(texts), "shingle-sets")
-    rows = seen.where("kind = 0").select(F.col("key").alias("doc_id"), "n", "sig")
-    sets = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc"), F.max("n").alias("n"))
+    rows = seen.where("kind = 0").select(F.col("key").alias("doc_id"), "n", "sig", "half")
+    sets = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc"), F.max("n").alias("n"), F.max("half").alias("half"),
+                                                              F.count(F.lit(1)).alias("copies"))
     total = rows.agg(F.sum("n").alias("shingles")).first()["shingles"] or 0
     if not total:
-        return rows.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+        return rows.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     frequent = (seen.where("kind = 1").groupBy("key").agg(F.sum("n").alias("df"))
                 .join(sets.agg((F.count(F.lit(1)) * HOT_SHARE).alias("least")), F.col("df") >= F.col("least"))
                 .select("key", "df").toPandas())
@@ -346,7 +336,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     buckets = max(partitions(spark), -(-total // BUCKET))
     back = _to_buckets(texts, hot, buckets).groupBy("bucket").applyInPandas(
         released("jaccard join", _from_bucket(hot, hot_rank, buckets)), "bucket int, docs binary, entries binary")
-    cores = stored(back.groupBy("bucket").applyInPandas(released("jaccard join", _boundary), "doc long, n int, regions array<bigint>, shared binary"), "boundaries")
+    cores = stored(back.groupBy("bucket").applyInPandas(released("jaccard join", _boundary), "doc long, half long, regions array<bigint>, shared binary"), "boundaries")
 
     member = cores.select(F.explode("regions").alias("region"), "doc")
     regions = (member.groupBy("region").agg(F.count(F.lit(1)).alias("m"), F.min("doc").alias("least"),
@@ -354,14 +344,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                .groupBy("m", "least", "all").agg(F.min("region").alias("region")))
     overlaps = member.join(regions.select("region", "least"), "region").select(F.col("doc").alias("a"), F.col("least").alias("b")).distinct()
     cells = connected_components(overlaps).withColumnRenamed("component", "cell")
-    sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
-    members = stored(cores.select("doc", "n", "shared").join(cells.join(sizes, "cell"), cores["doc"] == cells["node"]).drop("node"), "cells")
-    found = connected_components(_linked(members))
-
-    labels = sets.join(found, sets["doc"] == found["node"], "left").select("sig", F.coalesce("component", "doc").alias("component_id"))
-    return (rows.join(labels, "sig", "left")
+    known = cells.join(sets.select("doc", "half", "n", "copies"), cells["node"] == F.col("doc")).drop("node")
+    sizes = known.groupBy("cell").agg(F.ceil(F.greatest(F.count(F.lit(1)) / CELL, F.sum("n") / ENTRIES)).cast("int").alias("blocks"))
+    members = cores.select("doc", "half", "shared").join(known.join(sizes, "cell"), ["doc", "half"])
+    units = stored(_linked(members), "links")
+    found = connected_components(units.select(F.col("doc").alias("a"), F.col("root").alias("b")))
+    counts = units.groupBy("doc", "half").agg(F.sum("links").alias("links"))
+
+    labels = (sets.join(found, sets["doc"] == found["node"], "left").join(counts, ["doc", "half"], "left")
+              .select("sig", F.coalesce("component", "doc").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    alone = F.col("sig").isNull()
+    return (rows.drop("half").join(labels, "sig", "left")
             .select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+                    F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+                    F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links")))
 
 
 ORACLE = r"""
@@ -381,7 +377,8 @@ link AS (
   SELECT x, y FROM pair JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y WHERE 100 * common >= 80 * (p.n + q.n - common)),
 reach AS (
   SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, link.y FROM reach JOIN link ON link.x = reach.y),
-least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
-SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
-FROM documents LEFT JOIN size USING (doc_id) JOIN least ON least.x = doc_id
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+degree AS (SELECT x, count(*) AS n_links FROM link GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+FROM documents LEFT JOIN size USING (doc_id) JOIN least ON least.x = doc_id LEFT JOIN degree ON degree.x = doc_id
 """
