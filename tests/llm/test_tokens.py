@@ -95,3 +95,38 @@ def test_local_search_empties_bins():
     sizes = [rng.randint(1, 100) for _ in range(500)]
     packed = packing.local_search(sizes, packing.best_fit(sizes, 100), 100)
     assert sorted(i for b in packed for i in b) == list(range(500)) and max(sum(sizes[i] for i in b) for b in packed) <= 100
+
+
+def gains(a, b, room):
+    """Largest gain that ``b`` can get from ``a``, by all pairs."""
+    pairs = [(x, y) for x in range(len(b)) for y in range(x)]
+    found = [i for i in a] + [i - j for i in a for j in b] + [i - b[x] - b[y] for i in a for x, y in pairs]
+    found += [a[x] + a[y] - j for x in range(len(a)) for y in range(x) for j in b]
+    return max((g for g in found if 0 < g <= room), default=0)
+
+
+def test_local_search_leaves_no_step():
+    rng = random.Random(7)
+    sizes = [rng.randint(270, 375) for _ in range(400)]  # about three to a sequence, far more than forty bins that aren't full
+    packed = packing.local_search(sizes, packing.best_fit(sizes, 1000), 1000)
+    assert sorted(i for b in packed for i in b) == list(range(400))
+    bins = sorted(([sizes[i] for i in b] for b in packed), key=sum)
+    assert max(map(sum, bins)) <= 1000
+    assert not any(gains(s, t, 1000 - sum(t)) for x, s in enumerate(bins) for t in bins[x + 1:])
+
+
+def test_local_search_reads_whole_bins():
+    # Only the last two of 62 pieces, 200 + 293, go back for the piece of 500; then the piece of 190 fits beside them.
+    sizes = [500, *[3] * 60, 200, 293, 190]
+    packed = packing.local_search(sizes, [[0], list(range(1, 63)), [63]], 683)
+    assert sorted(sorted(sizes[i] for i in b) for b in packed) == [[*[3] * 60, 500], [190, 200, 293]]
+
+
+def test_best_step_equals_all_pairs():
+    rng = random.Random(5)
+    for _ in range(2000):
+        a, b = ([rng.randint(1, 30) for _ in range(rng.randint(1, 6))] for _ in "ab")
+        room = rng.randint(1, 20)
+        gain, go, come = packing._best_step(a, b, room)
+        assert gain == gains(a, b, room) == sum(go) - sum(come)
+        assert len(packing._Flat({3: b}, {3: 0}, room).takers(a)) == (gain > 0)
