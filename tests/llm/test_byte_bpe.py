@@ -77,3 +77,28 @@ def test_decode_keeps_columns(spark, docs, monkeypatch):
     assert back.columns == ["doc_id", "n_tokens", "ids", "text"]
     assert sorted(((r["doc_id"], r["text"]) for r in back.collect()), key=str) == sorted(((i, t or "") for i, t in EDGES), key=str)
     assert bpe.decode(spark.createDataFrame([(None,)], "ids binary")).first()["decoded"] == b""
+
+
+def test_new_pre_tokens_are_merged_together(library):
+    rng, own = random.Random(8), bpe.ByteBpe(bpe.load_ranks(tokenizer_path(bpe.VOCABULARY)))
+    texts = [" ".join("".join(rng.choice("etaoinshrdlué") for _ in range(rng.randint(1, 14))) for _ in range(rng.randint(0, 60))) for _ in range(200)]
+    searches, take = [], own.queue.take
+    own.queue.take = lambda: searches.append(1) or take()
+    assert list(own.encode_each(texts)) == [ids_of(library, t) for t in texts]
+    assert len(searches) < len(own.memo)  # one by one, each pre-token takes several
+    assert not own.queue.buckets and not any(map(any, own.queue.levels))
+
+
+def test_ranks_in_any_order():
+    rng = random.Random(9)
+    for _ in range(300):
+        tokens = [bytes([b]) for b in range(256)] + [*{bytes(rng.choices(b"abc", k=rng.randint(2, 5))) for _ in range(40)}]
+        own = bpe.ByteBpe(dict(zip(tokens, rng.sample(range(len(tokens)), len(tokens)), strict=True)))
+        pieces = [bytes(rng.choices(b"abc", k=rng.randint(1, 12))) for _ in range(20)]
+        want = []
+        for piece in pieces:
+            parts = [piece[i:i + 1] for i in range(len(piece))]
+            while (best := min(((own.ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in own.ranks), default=None)):
+                parts[best[1]:best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+            want.append(array.array("I", [own.ranks[x] for x in parts]).tobytes())
+        assert own.merge(pieces) == want
