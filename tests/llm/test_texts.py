@@ -236,6 +236,24 @@ def test_jaccard_repeated_ids(docs):
     assert sorted((r["doc_id"] or 0, r["component_id"], r["n_links"]) for r in rows) == [(0, 1, 3), (1, 1, 3), (1, 1, 3), (2, 1, 3), (3, 3, 0)]
 
 
+def test_jaccard_deals_few_bytes(docs):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 10**9, 204)) for _ in range(40)]  # 200 shingles each
+    dealt = jaccard._to_buckets(docs(list(enumerate(texts))), np.zeros(0, np.uint64), 5000, 0)
+    sizes = dealt.selectExpr("sum(length(hashes) div 8) AS n", "sum(length(hashes) + length(docs)) AS b").first()
+    assert sizes["n"] == 8000 and sizes["b"] <= 16 * sizes["n"]  # a set's key of eight bytes, however many buckets
+
+
+def test_jaccard_keys_that_collide(spark, docs):
+    sets = {i: jaccard.shingles(t) for i, t in ((1, "one two three four five six"), (2, "seven"))}
+    sigs = {i: jaccard.signature(x) for i, x in sets.items()}
+    rows, seed = jaccard._keyed(spark.createDataFrame([(1, sigs[1], 7), (2, sigs[2], 7), (3, sigs[1], 7), (4, None, None)], "doc_id long, sig binary, half long"))
+    keys = {i: jaccard.set_key(sig, 1) for i, sig in sigs.items()}
+    assert seed == 1 and {r["doc_id"]: r["half"] for r in rows.collect()} == {1: keys[1], 2: keys[2], 3: keys[1], 4: None}
+    dealt = jaccard._to_buckets(docs([(1, "one two three four five six"), (2, "seven")]), np.zeros(0, np.uint64), 9, seed).collect()
+    assert {k for r in dealt for k in np.frombuffer(r["docs"], np.int64)} == set(keys.values())
+
+
 def test_jaccard_regions_lose_no_link():
     rng = random.Random(8)
     groups = [near_copies(rng, 12, 90, 12) for _ in range(12)]

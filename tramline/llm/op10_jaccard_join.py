@@ -19,12 +19,16 @@ corpus; the join therefore works on two levels of pivots.
 Equal sets are one document with its number of copies. A cell above ``CELL`` documents or ``ENTRIES``
 shingles is cut into blocks: each block is joined as above, and each pair of blocks is a task of its
 own. Tasks give a row per document that has links, with their number, never the pairs.
-Shingles are 64-bit hashes of whole words' hashes; sets are told apart by 128 bits.
+Shingles are 64-bit hashes of whole words' hashes; sets are told apart by 128 bits. Between the deals a set
+goes by 64 of them, its key, after a look that no two sets have the same one (else other keys are taken);
+its size and its document are joined to it again at its boundary, so a shingle's bucket gets eight bytes and
+a count per set, and hashes, keys, counts and frequencies as columns of their own, which pack well.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -46,10 +50,6 @@ HOT_SHARE = 0.01  # of all documents; at most 1 / HOT_SHARE such shingles per sh
 HOT_BASE = 1 << 30  # rank of frequent shingles: behind all others
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
-DOC = np.dtype([("sig", "V16"), ("id", "<i8"), ("n", "<i4"), ("m", "<i4")])
-BACK = np.dtype([("sig", "<u8"), ("id", "<i8"), ("n", "<i4"), ("m", "<i4")])
-ENTRY = np.dtype([("hash", "<u8"), ("df", "<u4")])
-
 
 def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
     """Sorted distinct shingle hashes: A-Z lower-cased, words parted by ASCII white space; short texts are one shingle."""
@@ -72,6 +72,11 @@ def signature(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
+def set_key(sig: bytes, seed: int = 0) -> int:
+    """A set's key of 64 bits, signed."""
+    return int.from_bytes(sig[:8] if not seed else xxhash.xxh3_64_digest(sig, seed=seed), "little", signed=True)
+
+
 def at_least(share_of: np.ndarray | int):
     """Least intersection with a set of this size: ceil(PERCENT / 100 * n)."""
     return (share_of * PERCENT + 99) // 100
@@ -101,7 +106,7 @@ def _summaries(docs: DataFrame) -> DataFrame:
     def _batch(kind, key, n, sig):
         return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(key, pa.int64()), pa.array(n, pa.int64()),
                                            pa.array(sig, pa.binary()),
-                                           pa.array([x and int.from_bytes(x[:8], "little", signed=True) for x in sig], pa.int64())],
+                                           pa.array([x and set_key(x) for x in sig], pa.int64())],
                                           names=["kind", "key", "n", "sig", "half"])
 
     return docs.mapInArrow(released("jaccard join", run), "kind int, key long, n long, sig binary, half long")
@@ -109,65 +114,67 @@ def _summaries(docs: DataFrame) -> DataFrame:
 
 # --- pass 2: document frequencies ------------------------------------------------------------------------
 
-def _to_buckets(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    """Shingles by bucket of their hash; a frequent one is dealt by its document as well, so it has no bucket of its own."""
-    def flush(table: list, sets: list) -> Iterator[pa.RecordBatch]:
-        flat, sizes = np.concatenate(sets), np.array([len(s) for s in sets])
-        owner = np.repeat(np.arange(len(sets), dtype=np.int64), sizes)
-        salt = np.array([int.from_bytes(t[0][:6], "little") for t in table], np.uint64)[owner]
+def _packed(kept: dict[str, list], at: int, half: np.ndarray, owner: np.ndarray, **columns: np.ndarray) -> None:
+    """Adds a row: the sets in order, how many entries each has, and the entries' columns."""
+    first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+    kept["bucket"].append(at)
+    kept["docs"].append(half[owner[first]].tobytes())
+    kept["sizes"].append(np.diff(np.append(first, len(owner))).astype(np.uint32).tobytes())
+    for name, values in columns.items():
+        kept[name].append(values.tobytes())
+
+
+def _unpacked(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the sets of all rows, and the set of each entry."""
+    half = np.concatenate([np.frombuffer(x, np.int64) for x in part["docs"]])
+    return half, np.repeat(np.arange(len(half)), np.concatenate([np.frombuffer(x, np.uint32) for x in part["sizes"]]))
+
+
+def _to_buckets(docs: DataFrame, hot: np.ndarray, buckets: int, seed: int) -> DataFrame:
+    """Shingles by bucket of their hash; a frequent one is dealt by its set as well, so it has no bucket of its own."""
+    def flush(sets: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        half, flat = np.fromiter(sets, np.int64, len(sets)), np.concatenate(list(sets.values()))
+        owner = np.repeat(np.arange(len(sets), dtype=np.int64), [len(s) for s in sets.values()])
+        salt = (half.view(np.uint64) >> np.uint64(16))[owner]
         is_hot = hot[np.minimum(np.searchsorted(hot, flat), max(0, len(hot) - 1))] == flat if len(hot) else np.zeros(len(flat), bool)
         bucket = ((flat + np.where(is_hot, salt, np.uint64(0))) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         bucket, owner, flat = bucket[order], owner[order], flat[order]
-        docs_of = np.array(table, DOC)
         ends = np.flatnonzero(np.append(bucket[1:] != bucket[:-1], True)) + 1
-        rows, at = {"bucket": [], "docs": [], "hashes": []}, 0
+        rows, at = {"bucket": [], "docs": [], "sizes": [], "hashes": []}, 0
         for end in ends:
-            own = owner[at:end]
-            first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-            part = docs_of[own[first]]
-            part["m"] = np.diff(np.append(first, len(own)))
-            rows["bucket"].append(int(bucket[at]))
-            rows["docs"].append(part.tobytes())
-            rows["hashes"].append(flat[at:end].tobytes())
+            _packed(rows, int(bucket[at]), half, owner[at:end], hashes=flat[at:end])
             at = end
-        yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("hashes", pa.binary())]))
+        yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("docs", "sizes", "hashes"))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, sets, held, seen = [], [], 0, set()
+        sets, held = {}, 0
         for b in batches:
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 s = shingles(t) if i is not None else ()
                 if not len(s):
                     continue
-                sig = signature(s)
-                if (sig, i) in seen:
+                key = set_key(signature(s), seed)
+                if key in sets:
                     continue
-                seen.add((sig, i))
-                table.append((sig, i, len(s), 0))
-                sets.append(s)
+                sets[key] = s
                 held += len(s)
                 if held >= BUCKET // 2:
-                    yield from flush(table, sets)
-                    table, sets, held, seen = [], [], 0, set()
+                    yield from flush(sets)
+                    sets, held = {}, 0
         if sets:
-            yield from flush(table, sets)
+            yield from flush(sets)
 
-    return docs.mapInArrow(released("jaccard join", run), "bucket int, docs binary, hashes binary")
+    return docs.mapInArrow(released("jaccard join", run), "bucket int, docs binary, sizes binary, hashes binary")
 
 
 def _from_bucket(hot: np.ndarray, hot_rank: np.ndarray, buckets: int):
     """In a bucket: one entry per set and shingle, its frequency over sets, sent on to the set's bucket if shared."""
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        docs = np.concatenate([np.frombuffer(x, DOC) for x in part["docs"]])
+        half, owner = _unpacked(part)
         flat = np.concatenate([np.frombuffer(x, np.uint64) for x in part["hashes"]])
-        owner = np.repeat(np.arange(len(docs)), docs["m"])
-        # The same set comes once per document and task: its first document stands for it, by the smallest id.
-        order = np.lexsort((docs["id"], docs["sig"].view("V16").view([("a", "<u8"), ("b", "<u8")])["b"], docs["sig"].view([("a", "<u8"), ("b", "<u8")])["a"]))
-        by = docs[order]
-        same = np.append(False, by["sig"][1:] == by["sig"][:-1])
-        stands = np.zeros(len(docs), bool)
-        stands[order[~same]] = True
+        stands = np.zeros(len(half), bool)  # the same set comes once per run of a task
+        stands[np.unique(half, return_index=True)[1]] = True
         keep = stands[owner]
         flat, owner = flat[keep], owner[keep]
         order = np.argsort(flat, kind="stable")
@@ -179,49 +186,62 @@ def _from_bucket(hot: np.ndarray, hot_rank: np.ndarray, buckets: int):
             df = np.where(hot[place] == flat, HOT_BASE + hot_rank[place], df).astype(np.uint32)
         shared = df > 1
         flat, owner, df = flat[shared], owner[shared], df[shared]
-        to = (docs["id"][owner].astype(np.uint64) * FACTORS[0] >> np.uint64(20)) % np.uint64(buckets)
+        to = half[owner] % buckets
         order = np.lexsort((owner, to))
-        flat, owner, df, to = flat[order], owner[order], df[order], to[order].astype(np.int64)
-        rows, at = {"bucket": [], "docs": [], "entries": []}, 0
+        flat, owner, df, to = flat[order], owner[order], df[order], to[order]
+        rows, at = {"bucket": [], "docs": [], "sizes": [], "hashes": [], "dfs": []}, 0
         for end in (np.flatnonzero(np.append(to[1:] != to[:-1], True)) + 1 if len(to) else ()):
-            own = owner[at:end]
-            first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-            table = np.zeros(len(first), BACK)
-            table["sig"], table["id"], table["n"] = (docs["sig"][own[first]].view([("a", "<u8"), ("b", "<u8")])["a"],
-                                                     docs["id"][own[first]], docs["n"][own[first]])
-            table["m"] = np.diff(np.append(first, len(own)))
-            entries = np.zeros(end - at, ENTRY)
-            entries["hash"], entries["df"] = flat[at:end], df[at:end]
-            rows["bucket"].append(int(to[at]))
-            rows["docs"].append(table.tobytes())
-            rows["entries"].append(entries.tobytes())
+            _packed(rows, int(to[at]), half, owner[at:end], hashes=flat[at:end], dfs=df[at:end])
             at = end
         return pd.DataFrame(rows)
 
     return run
 
 
-def _boundary(part: pd.DataFrame) -> pd.DataFrame:
+def _boundary(parts: tuple[pd.DataFrame, pd.DataFrame]) -> pd.DataFrame:
     """Of each set with a shared shingle in its window: the window's shared shingles (regions) and all shared ones."""
-    docs = np.concatenate([np.frombuffer(x, BACK) for x in part["docs"]])
-    entries = np.concatenate([np.frombuffer(x, ENTRY) for x in part["entries"]])
-    owner = np.repeat(np.arange(len(docs)), docs["m"])
-    _, key = np.unique(docs[["id", "sig"]], return_inverse=True)
-    key = key[owner]
-    order = np.lexsort((entries["hash"], entries["df"], key))
-    entries, owner, key = entries[order], owner[order], key[order]
-    rows, at = {"doc": [], "half": [], "regions": [], "shared": []}, 0
+    part, sets = parts
+    rows = {"doc": [], "half": [], "regions": [], "shared": []}
+    if not len(part):
+        return pd.DataFrame(rows, dtype=object)
+    sets = sets.sort_values("half")
+    doc, half, size = (sets[c].to_numpy(np.int64) for c in ("doc", "half", "n"))
+    keys, owner = _unpacked(part)
+    hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in part["hashes"]])
+    key = np.searchsorted(half, keys)[owner]
+    order = np.lexsort((hashes, np.concatenate([np.frombuffer(x, np.uint32) for x in part["dfs"]]), key))
+    hashes, key = hashes[order], key[order]
+    at = 0
     for end in (np.flatnonzero(np.append(key[1:] != key[:-1], True)) + 1 if len(key) else ()):
-        n = int(docs["n"][owner[at]])
-        own = entries["hash"][at:end]
+        n = int(size[key[at]])
+        own = hashes[at:end]
         window = n - int(at_least(n)) + 1 - (n - len(own))  # what the unshared, rarest shingles leave of it
         if window > 0:
-            rows["doc"].append(int(docs["id"][owner[at]]))
-            rows["half"].append(int(docs["sig"][owner[at]].view(np.int64)))
+            rows["doc"].append(int(doc[key[at]]))
+            rows["half"].append(int(half[key[at]]))
             rows["regions"].append(own[:window].view(np.int64))
             rows["shared"].append(np.sort(own).tobytes())
         at = end
-    return pd.DataFrame(rows)
+    return pd.DataFrame(rows, dtype=object)
+
+
+def _boundaries(part: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+    return released("jaccard join", _boundary)((part, sets))
+
+
+def _keyed(rows: DataFrame) -> tuple[DataFrame, int]:
+    """``rows`` with keys that differ for all their sets, and the seed of the keys."""
+    seed = 0
+    while True:
+        seen = rows.where("sig is not null").select("sig", "half").distinct().agg(F.count(F.lit(1)).alias("sets"), F.countDistinct("half").alias("keys")).first()
+        if seen["sets"] == seen["keys"]:
+            return rows, seed
+        seed += 1
+        rows = rows.withColumn("half", F.udf(partial(_key, seed), "long")("sig"))
+
+
+def _key(seed: int, sig: bytes | None) -> int | None:
+    return sig and set_key(bytes(sig), seed)
 
 
 # --- cells -------------------------------------------------------------------------------------------------
@@ -321,6 +341,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     seen = stored(_summaries(texts), "shingle-sets")
     rows = seen.where("kind = 0").select(F.col("key").alias("doc_id"), "n", "sig", "half")
+    rows, seed = _keyed(rows)
     sets = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc"), F.max("n").alias("n"), F.max("half").alias("half"),
                                                               F.count(F.lit(1)).alias("copies"))
     total = rows.agg(F.sum("n").alias("shingles")).first()["shingles"] or 0
@@ -334,9 +355,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hot, hot_rank = hot[by_hash], frequent["df"].to_numpy(np.int64)[by_hash].clip(max=HOT_BASE - 1)
 
     buckets = max(partitions(spark), -(-total // BUCKET))
-    back = _to_buckets(texts, hot, buckets).groupBy("bucket").applyInPandas(
-        released("jaccard join", _from_bucket(hot, hot_rank, buckets)), "bucket int, docs binary, entries binary")
-    cores = stored(back.groupBy("bucket").applyInPandas(released("jaccard join", _boundary), "doc long, half long, regions array<bigint>, shared binary"), "boundaries")
+    back = _to_buckets(texts, hot, buckets, seed).groupBy("bucket").applyInPandas(
+        released("jaccard join", _from_bucket(hot, hot_rank, buckets)), "bucket int, docs binary, sizes binary, hashes binary, dfs binary")
+    stated = sets.where("doc is not null").select(F.pmod("half", F.lit(buckets).cast("long")).cast("int").alias("bucket"), "doc", "half", "n")
+    cores = stored(back.groupBy("bucket").cogroup(stated.groupBy("bucket")).applyInPandas(
+        _boundaries, "doc long, half long, regions array<bigint>, shared binary"), "boundaries")
 
     member = cores.select(F.explode("regions").alias("region"), "doc")
     regions = (member.groupBy("region").agg(F.count(F.lit(1)).alias("m"), F.min("doc").alias("least"),
