@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import weakref
 from itertools import combinations
 
 import duckdb
@@ -177,6 +178,20 @@ def test_leaks_of_partial_copies_and_answers(spark, docs):
     assert got == {(2000 + k, k): 1.0 if k < 5 else None for k, _ in items} | {(1000 + k, k): None for k in range(5, 10)}
 
 
+def test_fit_hands_memory_of_the_driver_back(spark, docs, monkeypatch):
+    given, left = [], []
+    make = tox.Rows.__init__
+
+    def made(self):
+        make(self)
+        given.append(weakref.ref(self))
+    monkeypatch.setattr(tox.Rows, "__init__", made)
+    monkeypatch.setattr(tox, "release", lambda: left.append([x() for x in given]))
+    tox.fit(docs([(i, f"w{i % 7} grumble" if i % 2 else f"w{i % 5} fine") for i in range(60)]),
+            spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int"))
+    assert left == [[None]]  # the rows are gone by then
+
+
 def near_copies(rng, n, words, edits):
     base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
     out = []
