@@ -67,6 +67,18 @@ def test_token_files_round_trip(spark, docs, tmp_path):
     assert codes.token_codes(docs([])).count() == 0
 
 
+def test_parts_of_known_chunks_are_not_cut_again():
+    words, cut = WordIds(WORDS), []
+    tokenize = words.tokenize
+    words.tokenize = lambda text: cut.append(text) or tokenize(text)
+    text = " ".join(f"{a}{b};" for a in "bdfg" for b in "aeiou")
+    assert words.encode(text) == array.array("I", expected(text)).tobytes()
+    assert len(cut) <= 20  # the mark isn't cut with each word
+    assert words.encode("Ba ba ba;") == array.array("I", expected("ba ba ba;")).tobytes()
+    cut.clear()
+    assert words.encode("ba: BA: ba") == array.array("I", expected("ba: ba: ba")).tobytes() and cut == []
+
+
 def test_packing_keeps_every_piece(docs):
     rows = packing.pack(docs(EDGES), capacity=64).collect()
     bins = {}

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import array
 import re
+from collections.abc import Callable
 
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -21,9 +22,8 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Letters whose lower case and composed form are one code point each, then marks. The library's
 #: pattern cuts such a chunk into exactly these two pieces.
 PLAIN = re.compile(f"([{LETTERS}]+)([!-&(-/:-@\\[-`{{-~]*)")
-OTHER = re.compile("[^\x00-\xff]")
 #: Marks in a row are one piece, so such a text isn't cut before its marks.
-RUN = re.compile(f"[^{LETTERS}0-9][.,][ \n]")
+RUN = re.compile(f"[.,][ \n](?<![{LETTERS}0-9][.,][ \n])")
 
 
 def tokenizer_path(name: str) -> str:
@@ -48,23 +48,47 @@ def mapped(text: str) -> str:
     return text if text.isascii() and text.isalpha() else "".join(map(BYTES.__getitem__, text.encode()))
 
 
+def one_byte(text: str) -> bool:
+    """Whether all letters are below U+0100."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class Chunks(dict):
+    """Ids by chunk; those of a chunk that is looked up for the first time are made then."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__({"": b""})
+        self.make = make
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self[chunk] = self.make(chunk)
+        return ids
+
+
 class WordIds:
     """Ids under a lower-casing word tokenizer that drops white space."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.model = self.library.model
-        self.chunks: dict[str, bytes] = {"": b""}
+        self.tokenize = self.library.model.tokenize
+        self.chunks = Chunks(self.chunk)
 
     def piece(self, text: str) -> bytes:
-        return array.array("I", [t.id for t in self.model.tokenize(mapped(text))]).tobytes()
+        return array.array("I", [t.id for t in self.tokenize(mapped(text))]).tobytes()
 
     def chunk(self, text: str) -> bytes:
+        if text.isalpha() and text.isascii():
+            return self.piece(text.lower())
         plain = PLAIN.fullmatch(text)
-        if plain:
-            ids = self.piece(plain[1].lower())
-            return ids + self.piece(plain[2]) if plain[2] else ids
-        return array.array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        if not plain:
+            return array.array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        word, marks = plain[1].lower(), plain[2]
+        ids = self.chunks.get(word) or self.piece(word)
+        return ids + self.chunks[marks] if marks else ids
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers.
@@ -73,21 +97,14 @@ class WordIds:
         strings, case can be folded first, and a full stop or comma after a letter or digit and
         before a space is a piece of its own; words then repeat more often.
         """
-        if not (OTHER.search(text) or RUN.search(text) or "<|" in text):
+        if "<|" not in text and one_byte(text) and not RUN.search(text):
             text = text.lower().replace("\n", " ").replace(", ", " , ").replace(". ", " . ")
         else:
             text = text.replace("\n", " ")
-        chunks, memo = text.split(" "), self.chunks
+        memo = self.chunks
         if len(memo) > MEMO:
             memo.clear()
-            memo[""] = b""
-        try:
-            return b"".join(map(memo.__getitem__, chunks))
-        except KeyError:
-            for c in chunks:
-                if c not in memo:
-                    memo[c] = self.chunk(c)
-            return b"".join(map(memo.__getitem__, chunks))
+        return b"".join(map(memo.__getitem__, text.split(" ")))
 
 
 def word_ids(path: str) -> WordIds:
