@@ -123,6 +123,14 @@ def test_longest_common_subsequence():
         assert decon.lcs_length(a, b) == plain(a, b)
 
 
+def test_words_of_one_byte_letters_need_no_pattern(monkeypatch):
+    rng, pattern = random.Random(12), decon.WORD
+    texts = ["".join(chr(rng.choice([rng.randrange(256), rng.randrange(32, 127)])) for _ in range(40)) for _ in range(2000)]
+    assert all(decon.words_of(t) == pattern.findall(t.lower()) for t in [*texts, "ΑΣ Σ_İx", "日本 a\u3000B", ""])
+    monkeypatch.setattr(decon, "WORD", None)
+    assert decon.words_of("Naïve_ÉTÉ, 12") == ["naïve", "été", "12"] and decon.words_of(None) == []
+
+
 def test_leaks_and_clean(spark, docs):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(rng.randint(2, 4)))

@@ -32,9 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import released, stored
+from tramline.llm.common import release, released, stored
 
 WORD = re.compile(r"[^\W_]+")
+#: One-byte letters in lower case, which is one byte again, and spaces for what isn't part of a word.
+FOLD = "".join(c.lower() if WORD.fullmatch(c) else " " for c in map(chr, range(256))).encode("latin-1")
 PRODUCT = 1 << 18  # multiplications of one matrix product; larger ones would start threads that wait more than they work
 TOGETHER = 4000  # terms of passages multiplied at once, so that their rows stay in the processor's cache
 
@@ -54,7 +56,11 @@ class Settings:
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """Matches of ``WORD`` in lower case; texts of one-byte letters are folded and cut without the pattern."""
+    try:
+        return (text or "").encode("latin-1").translate(FOLD).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return WORD.findall(text.lower())
 
 
 def lcs_length(a: list[str], b: list[str]) -> int:
@@ -301,7 +307,9 @@ def model(docs: DataFrame, benchmark: DataFrame, s: Settings, item_col: str, ite
     df, n = frequencies(terms, s)
     idf = np.log((2 + n) / (1 + df))
     rare = float(np.log(2 + n))
-    return Search(items, idf, latent_space(terms, items, idf, rare, s), s)
+    search = Search(items, idf, latent_space(terms, items, idf, rare, s), s)
+    release()  # the driver lives on as well
+    return search
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text",
