@@ -89,6 +89,24 @@ def test_new_pre_tokens_are_merged_together(library):
     assert not own.queue.buckets and not any(map(any, own.queue.levels))
 
 
+def test_known_words_are_not_cut_again(library):
+    class Counting:
+        def __init__(self, pattern):
+            self.pattern, self.calls = pattern, 0
+
+        def findall(self, text):
+            self.calls += 1
+            return self.pattern.findall(text)
+    rng, own = random.Random(10), bpe.ByteBpe(bpe.load_ranks(tokenizer_path(bpe.VOCABULARY)))
+    own.pattern = Counting(own.pattern)
+    vocabulary = ["".join(rng.choice("etaoinshrdlué,.'") for _ in range(rng.randint(0, 9))) for _ in range(80)] + ["x" * 50]
+    texts = [" ".join(rng.choices([w or "a" for w in vocabulary], k=60)) for _ in range(40)]
+    for text in texts:  # one group each
+        assert list(own.encode_each([text])) == [ids_of(library, text)]
+    assert own.pattern.calls < 400  # a head for each text, and a word once unless it is long
+    assert max(map(len, [*own.memo, *own.parts])) <= bpe.SHORT
+
+
 def test_ranks_in_any_order():
     rng = random.Random(9)
     for _ in range(300):

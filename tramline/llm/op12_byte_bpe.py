@@ -31,7 +31,7 @@ from tramline.llm.common import held
 from tramline.llm.tokens import tokenizer_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-MEMO = 800_000  # short pre-tokens kept per worker, about 150 MB
+MEMO = 800_000  # short words and pre-tokens kept per worker, about 150 MB
 SHIFT = 8  # a bitmap word has 2 ** SHIFT bits; 50,000 ranks then take two levels
 WIDTH, LOW = 1 << SHIFT, (1 << SHIFT) - 1
 SHORT = 32  # characters of a pre-token that is kept
@@ -130,7 +130,8 @@ class ByteBpe:
         for token, rank in ranks.items():
             if len(token) == 2:
                 self.bigrams[token[0] << 8 | token[1]] = rank
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = {}  # ids of words: what stands between two spaces, with the first one
+        self.parts: dict[str, bytes] = {}  # ids of pre-tokens in words of several and at the head of a text
 
     @cached_property
     def pairs(self) -> dict[int, int]:
@@ -162,7 +163,7 @@ class ByteBpe:
         for positions in np.split(order, np.flatnonzero(np.diff(first[order])) + 1) if len(order) else ():
             leftmost, *others = positions.tolist()
             push(waiting[leftmost], leftmost)
-            buckets[waiting[leftmost]].extend(others)  # rising, so it stays a heap
+            buckets[waiting[leftmost]].extend(others)
         while True:
             entry = take()
             if entry is None:
@@ -184,7 +185,7 @@ class ByteBpe:
                         if bucket is None:
                             push(new, i)
                         else:
-                            heappush(bucket, i)
+                            bucket.append(i)  # it is taken whole, and sorted then
                         if new < least:
                             least = new
                 if not edge[i]:
@@ -196,7 +197,7 @@ class ByteBpe:
                         if bucket is None:
                             push(new, j)
                         else:
-                            heappush(bucket, j)
+                            bucket.append(j)
                         if new < least:
                             least = new
                 if least < rank:
@@ -230,32 +231,37 @@ class ByteBpe:
         return [text] if WIDE.search(text) else text.replace("\n", " \n").split(" ")
 
     def _ids(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text; a stretch that repeats is cut once, and the new pre-tokens are merged together."""
-        memo, find = self.memo, self.pattern.findall
+        """Ids of each text; a word that is known isn't cut into pre-tokens again, and the new pre-tokens are merged together."""
+        memo, parts, find = self.memo, self.parts, self.pattern.findall
         cuts = [self._cut(text) for text in texts]
         heads = [find(cut.pop(0)) for cut in cuts]
-        words = {word: find(word if word[:1] == "\n" else " " + word) for word in set(chain.from_iterable(cuts))}
-        new = set(chain.from_iterable(chain(heads, words.values()))).difference(memo)
-        if len(memo) + len(new) > MEMO and memo:
+        fresh = set(chain.from_iterable(cuts))
+        if len(parts) + len(memo) > MEMO:
+            parts.clear()
             memo.clear()
-            new = set(chain.from_iterable(chain(heads, words.values())))
-        merged, long = [], []
-        for piece in new:
+        fresh.difference_update(memo)
+        parted = {word: find(word if word[:1] == "\n" else " " + word) for word in fresh}
+        found, merged = {}, []
+        for piece in set(chain.from_iterable(chain(heads, parted.values()))).difference(parts):
             data = piece.encode()
             whole = self.ranks.get(data)
             if whole is not None:
-                memo[piece] = whole.to_bytes(4, "little")
+                found[piece] = whole.to_bytes(4, "little")
             else:
                 merged.append((piece, data))
-            if len(piece) > SHORT:
-                long.append(piece)
         if merged:
-            memo.update(zip([piece for piece, _ in merged], self.merge([data for _, data in merged]), strict=True))
-        ids = {word: memo[pieces[0]] if len(pieces) == 1 else b"".join(map(memo.__getitem__, pieces)) for word, pieces in words.items()}
+            found.update(zip([piece for piece, _ in merged], self.merge([data for _, data in merged]), strict=True))
+        for pieces in chain(heads, (pieces for pieces in parted.values() if len(pieces) > 1)):
+            for piece in pieces:
+                if piece not in parts:
+                    parts[piece] = found[piece]
+        for word, pieces in parted.items():
+            memo[word] = b"".join(map(parts.__getitem__, pieces)) if len(pieces) > 1 else parts[pieces[0]] if pieces[0] in parts else found[pieces[0]]
         for head, cut in zip(heads, cuts, strict=True):
-            yield b"".join(chain(map(memo.__getitem__, head), map(ids.__getitem__, cut)))
-        for piece in long:
-            del memo[piece]
+            yield b"".join(chain(map(parts.__getitem__, head), map(memo.__getitem__, cut)))
+        for kept, new in ((parts, found), (memo, fresh)):
+            for long in [x for x in new if len(x) > SHORT]:
+                kept.pop(long, None)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
