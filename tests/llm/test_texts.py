@@ -93,6 +93,19 @@ def test_toxicity_finds_unseen_spellings(spark, docs):
     assert tox.fit(docs([]), table).probability(0.0) < 1
 
 
+def test_toxicity_sample_comes_from_one_pass(spark, docs):
+    """Neither splits nor rows that come again cost the driver a job or a row each."""
+    rows = [(i % 40, f"{'grumblox' if i % 40 % 4 == 0 else 'stone'} light paper {i % 40}") for i in range(400)]
+    table = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(40)], "doc_id long, toxic int")
+    context = spark.sparkContext
+    context.setJobGroup("sample", "one pass")
+    found = tox.fit(docs(rows).repartition(60), table)
+    context._jsc.clearJobGroup()
+    assert len(context.statusTracker().getJobIdsForGroup("sample")) < 30
+    once = tox.fit(docs(rows[:40]), table)
+    assert (found.weights == once.weights).all() and (found.bias, found.scale, found.shift) == (once.bias, once.scale, once.shift)
+
+
 def test_toxicity_learns_from_whole_texts(spark, docs):
     """The word that earns the label stands behind word 900 of every positive text, and nowhere else."""
     rng = random.Random(4)
