@@ -95,3 +95,15 @@ def test_alert_text_and_newest_state(spark, versions):
     got = facts.fact_alerts(raw, versions).collect()
     assert [(r.header_text, r.severity_level, r.url) for r in got] == [("es", "SEVERE", None)]
     assert facts.fact_alerts(raw, versions, date(2024, 1, 11)).count() == 0
+
+
+def test_alert_periods_are_picked_by_stamps(spark):
+    """Times are computed for the picked rows only, below nothing that shuffles or sorts all rows; the picks are those of the times."""
+    start = 1704906000
+    raw = rows(spark, s.RAW_ALERTS, {**ALERT, "active_period": [(start, None)]}, {**ALERT, "active_period": [(None, start)]},
+               {**ALERT, "active_period": [(start, start + 5), (None, None)]}, {**ALERT, "active_period": [(-5, start)]})
+    found = facts.fact_alerts_active_periods(raw)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "make_dt_interval" in plan[:plan.index("Window")] and "make_dt_interval" not in plan[plan.index("Window"):]
+    got = sorted(found.collect(), key=lambda r: r.period_index)
+    assert [(r.period_index, r.active_start, r.is_open_ended) for r in got] == [(0, None, False), (1, None, True)]

@@ -17,7 +17,7 @@ from tramline.operators import checks, latest, merge, sampling
 from tramline.operators.versions import link_version
 from tramline.plans import daily, dashboards, facts, live, marts, raw
 from tramline.schemas import FACT_ALERTS, TABLES, columns_of, conform
-from tramline.session import scratch_dir
+from tramline.session import HUGE, at_most, scratch_dir
 from tramline.sinks import tables as sinks
 from tramline.sinks.state import LatestState
 from tramline.sources import schedule
@@ -69,8 +69,10 @@ def _updates(spark: SparkSession, sf: str) -> DataFrame:
 
 def _alert_facts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     rows, versions = roles.raw_alerts(spark, sf), roles.order_versions(spark, sf)
+    with at_most(spark, {HUGE: 8000}):  # as in ``build_session``: the JVM would interpret this one's generated method
+        periods = roles.stored(spark, sf, "fact_alerts_active_periods", lambda: facts.fact_alerts_active_periods(rows))
     return (
-        roles.stored(spark, sf, "fact_alerts_active_periods", lambda: facts.fact_alerts_active_periods(rows)),
+        periods,
         roles.stored(spark, sf, "fact_alerts_routes", lambda: facts.fact_alerts_routes(rows)),
         roles.stored(spark, sf, "fact_alerts", lambda: facts.fact_alerts(rows, versions)),
     )

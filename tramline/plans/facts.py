@@ -116,15 +116,19 @@ def fact_alerts_routes(raw: DataFrame, first: date | None = None, last: date | N
 
 
 def fact_alerts_active_periods(raw: DataFrame, first: date | None = None, last: date | None = None) -> DataFrame:
-    """Newest row per (alert, period index); alerts without periods have none."""
+    """Newest row per (alert, period index); alerts without periods have none.
+
+    Rows are picked by the stamps as they are; times, whose order is that of the stamps, are computed for the picked ones.
+    """
     columns = columns_of(FACT_ALERTS_ACTIVE_PERIODS)
-    rows = explode_array(_alert_slice(raw, first, last).where(F.size("active_period") > 0), "active_period",
+    rows = explode_array(_alert_slice(raw, first, last), "active_period",
                          ["entity_id", "snapshot_timestamp"], "p", index="period_index")
-    start, end = utc_wall_time("p.start"), utc_wall_time("p.end")
-    flat = rows.select(
+    stamps = rows.select("entity_id", "snapshot_timestamp", "period_index", "p.start", "p.end")
+    newest = _newest(stamps, ["entity_id", "period_index"], stamps.columns)
+    start, end = utc_wall_time("start"), utc_wall_time("end")
+    return newest.select(
         "entity_id", "snapshot_timestamp", "period_index",
         start.alias("active_start"), end.alias("active_end"),
         boundary_hours(start, end).alias("duration_hours"),
-        F.col("p.end").isNull().alias("is_open_ended"),
-    )
-    return _newest(flat, ["entity_id", "period_index"], columns).select(*columns)
+        F.col("end").isNull().alias("is_open_ended"),
+    ).select(*columns)
